@@ -105,7 +105,7 @@ def _blocks(frames: Iterator[pd.DataFrame], pattern: str, block_chars: int):
         yield block()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = 8_000_000, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = 3_000_000, buckets: int | None = None) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit, one after another) of each row of docs(doc_id, text).
 
     A null or empty text has no ids. Rows stay as they are: repeated ids, null ids and repeated texts each give
