@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from .byte_bpe import op1_byte_bpe
+from .packing import op5_best_fit
+from .quality import op6_quality
 from .simhash import op3_simhash
+from .token_files import op4_token_files
+from .toxicity import op9_toxicity
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
+    "op4_token_files": op4_token_files,
+    "op5_best_fit": op5_best_fit,
+    "op6_quality": op6_quality,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE: dict[str, str] = {}
