@@ -35,14 +35,22 @@ def words(text: Column) -> Column:
     return F.filter(cut, lambda w: w != "")
 
 
+def _let(value: Column, f) -> Column:
+    """f of value, which is computed once: columns used in a lambda would otherwise be computed for each element."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def _shingle_hashes(hashes: Column, size: int) -> Column:
-    n = F.size(hashes) - size + 1
-    at = lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(size)))
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<long>"))
+    def of(h):
+        n = F.size(h) - size + 1
+        at = lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(size)))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<long>"))
+
+    return _let(hashes, of)
 
 
 def _shingle_texts(ws: Column, size: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(ws) - size + 1), lambda i: F.array_join(F.slice(ws, i, size), " "))
+    return _let(ws, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.array_join(F.slice(w, i, size), " ")))
 
 
 def templates_of(spark: SparkSession, given: list[tuple[str, str]]) -> DataFrame:

@@ -9,6 +9,7 @@ import os
 import re
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -25,7 +26,7 @@ class Chunked:
     space kept, so texts are cut before single spaces. Chunks are remembered in two generations of `most` each.
     """
 
-    def __init__(self, path: str, kind: str, most: int = 400_000):
+    def __init__(self, path: str, kind: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -68,10 +69,11 @@ class Chunked:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers; none for null."""
         cut = [self._cut(t) if t else [] for t in texts]
-        need = {c for chunks in cut for c in chunks if c not in self.known}
+        every = set(chain.from_iterable(cut))
+        need = every.difference(self.known)
         if len(self.known) + len(need) > self.most:
             self.known, self.before = {}, self.known
-            need = {c for chunks in cut for c in chunks}
+            need = every
         new = []
         for c in need:
             if (got := self.before.get(c)) is None:
@@ -89,7 +91,7 @@ def shared(path: str, kind: str) -> Chunked:
     return Chunked(path, kind)
 
 
-def portions(texts, most_chars: int = 1_000_000):
+def portions(texts, most_chars: int = 3_000_000):
     """Slices (from, to) of texts that hold about most_chars characters each, one text at least."""
     start = chars = 0
     for i, t in enumerate(texts):

@@ -56,11 +56,12 @@ def url_tokens(url: Column) -> Column:
     ))
 
 
-def mine(pages: DataFrame, labels: DataFrame, support: float = 0.002, confidence: float = 0.5) -> DataFrame:
+def mine(pages: DataFrame, labels: DataFrame, support: float = 0.01, confidence: float = 0.5, least: int = 20) -> DataFrame:
     """antecedent, confidence, support of token combinations that go with low quality.
 
     pages(page_id, url) are labelled by labels(doc_id, quality) of the same id. Only minimal rules stay: one whose
-    tokens contain those of another adds nothing. Without labelled pages there are no rules.
+    tokens contain those of another adds nothing. A combination must cover the share support of the labelled pages
+    and at least `least` of them, so that few labels do not make every combination frequent. Without labelled pages there are no rules.
     """
     from pyspark.ml.fpm import FPGrowth
 
@@ -68,7 +69,8 @@ def mine(pages: DataFrame, labels: DataFrame, support: float = 0.002, confidence
     baskets = pages.select("page_id", "url").filter("url is not null").join(told, "page_id")
     items = F.when(F.col("quality") == 0, F.array_append(url_tokens(F.col("url")), F.lit(BAD))).otherwise(url_tokens(F.col("url")))
     baskets = baskets.select(items.alias("items")).filter(F.size("items") > 0)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    n = baskets.count()
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / max(n, 1))), minConfidence=confidence).fit(baskets)
     found = model.associationRules.filter(F.expr(f"consequent = array('{BAD}')"))
     return found.select("antecedent", "confidence", "support")
 
