@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import components, forest, store
 
-TABLES, PROBES, SCALE, TILE = 8, 6, 0.22, 512
+TABLES, PROBES, SCALE, TILE = 4, 4, 0.27, 512
 
 
 @lru_cache(1)
@@ -76,38 +76,40 @@ def cells(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES, scale: f
     return out
 
 
-def _units(bodies: list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(b, "<f8") for b in bodies])
+def _units(bodies: list, kind: str) -> np.ndarray:
+    x = np.stack([np.frombuffer(b, kind) for b in bodies]).astype(float)
+    x /= np.abs(x).max(1)[:, None]
+    return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _deal(tables: int, probes: int, scale: float):
+def _deal(tables: int, probes: int, scale: float, kind: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             by: dict[int, list[int]] = {}
             for i, v in enumerate(f["v"]):
                 by.setdefault(len(v), []).append(i)
             for rows in by.values():
-                x = np.array([f["v"].iloc[i] for i in rows], float)
-                x /= np.abs(x).max(1)[:, None]
-                x /= np.sqrt((x * x).sum(1))[:, None]
-                c = cells(x, tables, probes, scale)
+                c = cells(_units([f["v"].iloc[i].astype(kind) for i in rows], kind), tables, probes, scale)
                 node, mult = f["node"].to_numpy()[rows], f["mult"].to_numpy()[rows]
-                yield pd.DataFrame({"node": node, "mult": mult, "unit": [u.astype("<f8").tobytes() for u in x], "cells": [k.tobytes() for k in c], "at": [k.ravel() for k in c]})
+                yield pd.DataFrame({"node": node, "mult": mult, "body": [f["v"].iloc[i].astype(kind).tobytes() for i in rows], "at": [k.ravel() for k in c]})
 
     return run
 
 
-def _meet(least: float, tables: int, probes: int):
+def _meet(least: float, tables: int, probes: int, scale: float, kind: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out: list[pd.DataFrame] = []
             for cell, same, one, two in zip(f["cell"], f["same"], f["one"], f["two"], strict=True):
-                a, b = ({k: [r[k] for r in side] for k in ("node", "mult", "unit", "cells")} for side in (one, two))
-                ca, cb = (np.frombuffer(b"".join(x["cells"]), np.int64).reshape(-1, tables, 1 + probes) for x in (a, b))
+                a, b = ({k: [r[k] for r in side] for k in ("node", "mult", "body")} for side in (one, two))
+                ua, ub = _units(a["body"], kind), _units(b["body"], kind)
                 na, nb, ma, mb = (np.array(x, np.int64) for x in (a["node"], b["node"], a["mult"], b["mult"]))
-                i, j = np.nonzero(_units(a["unit"]) @ _units(b["unit"]).T >= least)
+                i, j = np.nonzero(ua @ ub.T >= least)
                 keep = (na[i] < nb[j]) if same else (na[i] != nb[j])
                 i, j = i[keep], j[keep]
+                if not len(i):
+                    continue
+                ca, cb = cells(ua, tables, probes, scale), cells(ub, tables, probes, scale)
                 first = np.full(len(i), -1, np.int64)
                 cell_at = np.zeros(len(i), np.int64)
                 for t in range(tables):
@@ -142,20 +144,21 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, tables: int = TABLE
     them all. Vectors of different lengths never link. Links below least are never given; of the others, recall is
     measured against brute force in the tests.
     """
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     fine = F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     v = v.withColumn("ok", F.coalesce(fine, F.lit(False)))
     classes = store(v.filter("ok").groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("mult")), "vectors")
-    dealt = store(classes.select("node", "mult", "v").mapInPandas(_deal(tables, probes, scale), "node long, mult long, unit binary, cells binary, at array<long>"), "dealt")
-    seen = dealt.select("node", "mult", "unit", "cells", F.posexplode("at").alias("i", "cell")).withColumn("home", F.col("i") % (1 + probes) == 0).drop("i")
+    dealt = store(classes.select("node", "mult", "v").mapInPandas(_deal(tables, probes, scale, kind), "node long, mult long, body binary, at array<long>"), "dealt")
+    seen = dealt.select("node", "mult", "body", F.posexplode("at").alias("i", "cell")).withColumn("home", F.col("i") % (1 + probes) == 0).drop("i")
     counts = dealt.select(F.explode("at").alias("cell")).groupBy("cell").agg(F.expr(f"int(ceil(count(*) / {tile}))").alias("slots")).filter("slots > 1")
     seen = seen.join(counts, "cell", "left").withColumn("slot", F.expr("int(pmod(xxhash64(node), coalesce(slots, 1)))"))
-    row = F.struct("node", "mult", "unit", "cells")
+    row = F.struct("node", "mult", "body")
     tiles = seen.groupBy("cell", "slot").agg(F.collect_list(row).alias("all"), F.expr("bool_or(home)").alias("home")).filter(F.size("all") > 0)
     tiles = store(tiles, "cells")
     a, b = tiles.select("cell", F.col("slot").alias("s1"), F.col("home").alias("h1"), F.col("all").alias("one")), tiles.select("cell", F.col("slot").alias("s2"), F.col("home").alias("h2"), F.col("all").alias("two"))
     pairs = a.join(b, "cell").filter("s1 <= s2 and (h1 or h2) and (s1 < s2 or size(one) > 1)").select("cell", F.expr("s1 = s2").alias("same"), "one", "two")
-    found = store(pairs.mapInPandas(_meet(least, tables, probes), "a long, b long, n long"), "links")
+    found = store(pairs.mapInPandas(_meet(least, tables, probes, scale, kind), "a long, b long, n long"), "links")
     linked = found.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     comp = components(found.filter("a <> b"))
     told = classes.join(linked, "node", "left").join(comp, "node", "left")
