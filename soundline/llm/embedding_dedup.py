@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import components, forest, store
 
-TABLES, PROBES, SCALE, TILE = 4, 4, 0.27, 512
+TABLES, PROBES, SCALE, TILE = 4, 4, 0.22, 512
 
 
 @lru_cache(1)
