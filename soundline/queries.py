@@ -255,7 +255,7 @@ def knn_embeddings(spark, d):
                 top = np.argsort(np.round(dist, 6), axis=1, kind="stable")[:, :k]
                 yield pd.DataFrame({"q": np.repeat(ids, k), "near": own[top].ravel(), "dist": np.take_along_axis(dist, top, 1).ravel()})
 
-    best = e.join(F.broadcast(block)) if False else e.crossJoin(block)  # blocks of a stated query set against all rows
+    best = e.crossJoin(block)  # blocks of a stated query set against all rows
     best = best.mapInPandas(run, "q long, near long, dist double").filter("dist < double('infinity')")
     w = Window.partitionBy("q").orderBy(F.round("dist", 6), "near")
     return best.withColumn("rank", F.row_number().over(w)).filter("rank <= 5").select("q", "near", "rank")
