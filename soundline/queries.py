@@ -237,28 +237,36 @@ def radius_pairs(spark, d):
 @query("""WITH q AS (SELECT a.vec_id AS q, b.vec_id AS near, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6), b.vec_id) AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND a.vec_id % 100 = 0)
   SELECT q, near, CAST(rank AS INT) AS rank FROM q WHERE rank <= 5""")
 def knn_embeddings(spark, d):
-    """The queries are the rows whose id is divisible by 100; each batch of rows meets them in one matrix product."""
-    e = table(spark, d, "embeddings").select("vec_id", "embedding")
-    asked = e.filter("vec_id % 100 = 0").orderBy("vec_id")
-    block = asked.groupBy(F.expr("vec_id div 51200").alias("block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("qs"))
+    """The queries are the rows whose id is divisible by 100; blocks of them meet chunks of all rows in matrix form."""
+    e = table(spark, d, "embeddings").select("vec_id", "embedding").filter("vec_id is not null and embedding is not null")
+    return nearest_vectors(e.filter("vec_id % 100 = 0"), e, 5)
+
+
+def nearest_vectors(asked: DataFrame, rows: DataFrame, k: int, block: int = 512, chunk: int = 2048) -> DataFrame:
+    """q, near, rank of the k nearest rows(vec_id, embedding) of each row of asked, itself left out, ties by id.
+
+    Blocks and chunks hold about block and chunk rows whatever the input's size; each pair of them gives k rows a query.
+    """
+
+    def dealt(df: DataFrame, size: int, name: str) -> DataFrame:
+        n = max(1, -(-df.count() // size))
+        return df.groupBy(F.expr(f"pmod(xxhash64(vec_id), {n})").alias(f"{name}_at")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias(name)).drop(f"{name}_at")
 
     def run(frames):
         for f in frames:
-            x = np.array(f["embedding"].tolist(), float)
-            for qs in f["qs"].iloc[:1]:
-                y = np.array([q["embedding"] for q in qs], float)
-                ids = np.array([q["vec_id"] for q in qs])
+            for qs, own in zip(f["qs"], f["own"], strict=True):
+                y, x = (np.array([r["embedding"] for r in side], float) for side in (qs, own))
+                ids, near = (np.array([r["vec_id"] for r in side]) for side in (qs, own))
                 dist = np.sqrt(np.stack([((x - one) ** 2).sum(1) for one in y]))
-                own = f["vec_id"].to_numpy()
-                dist[ids[:, None] == own[None, :]] = np.inf
-                k = min(6, len(own))
-                top = np.argsort(np.round(dist, 6), axis=1, kind="stable")[:, :k]
-                yield pd.DataFrame({"q": np.repeat(ids, k), "near": own[top].ravel(), "dist": np.take_along_axis(dist, top, 1).ravel()})
-
-    best = e.crossJoin(block)  # blocks of a stated query set against all rows
-    best = best.mapInPandas(run, "q long, near long, dist double").filter("dist < double('infinity')")
+                dist[ids[:, None] == near[None, :]] = np.inf
+                order = np.argsort(near, kind="stable")
+                top = order[np.argsort(np.round(dist[:, order], 6), axis=1, kind="stable")[:, :k]]
+                yield pd.DataFrame({"q": np.repeat(ids, top.shape[1]), "near": near[top].ravel(), "dist": np.take_along_axis(dist, top, 1).ravel()})
+
+    pairs = dealt(rows, chunk, "own").crossJoin(dealt(asked, block, "qs"))  # blocks of a stated query set against all rows
+    best = pairs.mapInPandas(run, "q long, near long, dist double").filter("dist < double('infinity')")
     w = Window.partitionBy("q").orderBy(F.round("dist", 6), "near")
-    return best.withColumn("rank", F.row_number().over(w)).filter("rank <= 5").select("q", "near", "rank")
+    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("q", "near", "rank")
 
 
 @query()
