@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import attributes as A
 from .functions import geometry as G
 from .functions import raster as R
-from .operators import components, depth, graph, hazards, seams, spatial
+from .operators import components, crossings, depth, graph, hazards, seams, spatial
 from .sources.fixtures import layer, oracle_text, table
 
 QUERIES: dict = {}
@@ -495,3 +495,25 @@ def extra_set_difference(spark, d):
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def extra_hourly_events(spark, d):
     return table(spark, d, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count("*").alias("n"))
+
+
+_CLIP = """m AS (SELECT *, greatest(0, least((minx-x1)/nullif(x2-x1, 0)::DOUBLE, (maxx-x1)/nullif(x2-x1, 0)::DOUBLE), least((miny-y1)/nullif(y2-y1, 0)::DOUBLE, (maxy-y1)/nullif(y2-y1, 0)::DOUBLE)) AS t0,
+    least(1, greatest((minx-x1)/nullif(x2-x1, 0)::DOUBLE, (maxx-x1)/nullif(x2-x1, 0)::DOUBLE), greatest((miny-y1)/nullif(y2-y1, 0)::DOUBLE, (maxy-y1)/nullif(y2-y1, 0)::DOUBLE)) AS t1
+    FROM e JOIN {%s} ON """ + _MEETS + """),
+  c AS (SELECT *, x1 + t0*(x2-x1) AS ax, y1 + t0*(y2-y1) AS ay, x1 + t1*(x2-x1) AS bx, y1 + t1*(y2-y1) AS b_y FROM m WHERE t0 <= t1)"""
+
+
+@query(f"""WITH {_E}, {_CLIP % "chart_bridges"}
+  SELECT bridge_id, u AS line, round(coalesce(sum(n*(ax+bx)/2)/nullif(sum(n), 0), avg((ax+bx)/2)), 2) AS x, round(coalesce(sum(n*(ay+b_y)/2)/nullif(sum(n), 0), avg((ay+b_y)/2)), 2) AS y
+  FROM (SELECT *, sqrt((bx-ax)**2 + (b_y-ay)**2) AS n FROM c) GROUP BY bridge_id, u""")
+def bridge_crossing_points(spark, d):
+    out = crossings.bridge_crossings(ends(spark, d), layer(spark, d, "chart_bridges"))
+    return out.select("bridge_id", "line", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"))
+
+
+@query(f"""WITH {_E}, {_CLIP % "chart_locks"},
+  p AS (SELECT lock_id, u, round(ax, 6) AS x, round(ay, 6) AS y FROM c WHERE t0 > 0 OR x1 IN (minx, maxx) OR y1 IN (miny, maxy) UNION SELECT lock_id, u, round(bx, 6), round(b_y, 6) FROM c WHERE t1 < 1 OR x2 IN (minx, maxx) OR y2 IN (miny, maxy))
+  SELECT a.lock_id, a.u AS line, round(max(sqrt((b.x-a.x)**2 + (b.y-a.y)**2)), 2) AS span FROM p a JOIN p b ON a.lock_id = b.lock_id AND a.u = b.u AND (a.x < b.x OR a.x = b.x AND a.y < b.y) GROUP BY a.lock_id, a.u""")
+def lock_gate_pairs(spark, d):
+    out = crossings.lock_gates(ends(spark, d), layer(spark, d, "chart_locks"))
+    return out.select("lock_id", "line", F.round("span", 2).alias("span"))
