@@ -1,9 +1,12 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text compete for each window.
 
-A window is one word between two runs of guard bytes that both dictionaries hold, so that the compressed lengths
-differ by the word alone. Its distance is the share of its bytes that the toxic dictionary saves over the ordinary
-one. A text's evidence is its largest distance and the number of windows past the threshold; isotonic regression
-on labelled texts that the dictionaries haven't seen turns evidence into a probability.
+A window is a word, or a longer word's head, between two runs of guard bytes that all dictionaries hold, so that the
+compressed lengths differ by the window alone. Its distance is the share of its bytes that a toxic dictionary saves
+over the ordinary one; a word has the larger distance of its windows. There are two toxic dictionaries: segments that
+ordinary text hardly ever has, and segments that it has now and then. Words past a threshold are strong or mild hits.
+A text's evidence is the log likelihood of its hits among its words at the rates of toxic texts against those of
+ordinary ones: a long text needs more hits than a short one. Isotonic regression on labelled texts that the
+dictionaries haven't seen turns evidence into a probability.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 
 GUARD = bytes(range(1, 17))
 _SPACED = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-LEVEL, MIN_MATCH, CACHE = 3, 5, 400_000
+LEVEL, MIN_MATCH, HEAD, CACHE = 3, 5, 6, 200_000
+NOTHING = -1e6
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -28,7 +32,7 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def _pieces(word: bytes) -> set[bytes]:
-    return {b" " + word + b" ", *((b" " + word)[:n] for n in range(6, 11) if len(word) >= n)}
+    return {b" " + word + b" ", *((b" " + word)[:n] for n in range(5, 11) if len(word) >= n)}
 
 
 def _compressor(segments: bytes):
@@ -41,74 +45,112 @@ def _compressor(segments: bytes):
 
 
 class Distance:
-    """Window distances under a pair of dictionaries; remembers those of recent words."""
+    """Distances of words under a toxic and the ordinary dictionary; remembers those of recent words."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.toxic, self.ordinary, self.known = _compressor(toxic), _compressor(ordinary), {}
 
+    def window(self, segment: bytes) -> float:
+        framed = GUARD + segment + GUARD
+        return (len(self.ordinary(framed)) - len(self.toxic(framed))) / len(segment)
+
     def __call__(self, word: bytes) -> float:
         got = self.known.get(word)
         if got is None:
             if len(self.known) >= CACHE:
                 self.known.clear()
-            window = GUARD + b" " + word + b" " + GUARD
-            got = self.known[word] = (len(self.ordinary(window)) - len(self.toxic(window))) / (len(word) + 2)
+            got = self.window(b" " + word + b" ")
+            if len(word) > HEAD:
+                got = max(got, self.window(b" " + word[:HEAD]))
+            self.known[word] = got
         return got
 
-    def evidence(self, text: str | None, threshold: float) -> float:
-        d = [self(w) for w in set(tokens(text))]
-        return max(d) + 0.05 * min(sum(x >= threshold for x in d), 8) if d else -1.0
+
+class Hits:
+    """(strong hits, mild hits, words) of a text; a word that is both counts as strong."""
+
+    def __init__(self, model: dict):
+        self.strong, self.mild = (Distance(x, model["ordinary"]) for x in model["toxic"])
+
+    def far(self, text: str | None) -> np.ndarray:
+        return np.array([(self.strong(w), self.mild(w)) for w in tokens(text)]).reshape(-1, 2)
+
+    @staticmethod
+    def count(far: np.ndarray, threshold: float) -> tuple[int, int, int]:
+        hit = far >= threshold
+        return int(hit[:, 0].sum()), int((hit[:, 1] & ~hit[:, 0]).sum()), len(far)
+
+
+def evidence(counts: np.ndarray, toxic_rates: np.ndarray, ordinary_rates: np.ndarray) -> np.ndarray:
+    """Poisson log likelihood ratio of the hits among the words; texts without words have the least."""
+    hits, words = counts[:, :2], counts[:, 2]
+    return np.where(words > 0, hits @ np.log(toxic_rates / ordinary_rates) - (toxic_rates - ordinary_rates).sum() * words, NOTHING)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the best non-decreasing fit of y on x (pool adjacent violators)."""
+    """Best non-decreasing fit of y on x (pool adjacent violators): a knot at the mean of each block."""
     xs, inv = np.unique(x, return_inverse=True)
     blocks: list[list[float]] = []
     for w, s, at in zip(np.bincount(inv), np.bincount(inv, y), xs, strict=True):
-        blocks.append([s, w, at, at])
+        blocks.append([s, w, at * w])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
-            s, w, _, end = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + w, blocks[-1][2], end]
-    knots = [(at, s / w) for s, w, a, b in blocks for at in (a, b)]
-    return np.array([k[0] for k in knots]), np.array([k[1] for k in knots])
+            s, w, total = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + w, blocks[-1][2] + total]
+    return np.array([total / w for _, w, total in blocks]), np.array([s / w for s, w, _ in blocks])
 
 
-def train(texts: list[str], labels: list[int], least: int = 4, contrast: float = 20.0, ordinary_bytes: int = 24_000, toxic_bytes: int = 8_000) -> dict:
-    """Dictionaries from every other text, threshold and calibration from the rest.
+def train(texts: list[str], labels: list[int], least: int = 4, contrast: float = 40.0, strong: float = 200.0, ordinary_bytes: int = 24_000, toxic_bytes: int = 8_000) -> dict:
+    """Dictionaries from every other text; threshold, rates and calibration from the rest.
 
-    A toxic segment is a word or its beginning that occurs in least toxic texts or more, and at contrast times the
-    ordinary rate. The order of texts decides nothing but the halves. Without labels of both kinds every score is 0.
+    A toxic segment is a word or its beginning that occurs in least toxic texts or more, and at contrast times its
+    rate among the distinct words of ordinary texts; at strong times, it goes to the strong dictionary. The threshold
+    is the one whose calibrated scores are likeliest. The order of texts decides nothing but the halves. Without
+    labels of both kinds every score is 0.
     """
-    count, n = [Counter(), Counter()], [0, 0]
-    words = Counter()
+    count, n, toxic_texts = [Counter(), Counter()], [0, 0], 0
+    words, seen = Counter(), Counter()
     for text, y in zip(texts[::2], labels[::2], strict=True):
         own = set(tokens(text))
-        n[y] += 1
-        count[y].update(p for w in own for p in _pieces(w))
-        if not y:
+        n[y] += len(own)
+        for w in own:
+            count[y].update(_pieces(w))
+        if y:
+            toxic_texts += 1
+            seen.update({p for w in own for p in _pieces(w)})
+        else:
             words.update(own)
-    least = min(least, max(2, n[1] // 8))
-    rate = {p: (c / n[1]) / ((count[0][p] + 0.1) / max(n[0], 1)) for p, c in count[1].items() if c >= least}
-    chosen = sorted((p for p, r in rate.items() if r >= contrast), key=lambda p: (count[1][p], len(p), p))
-    kept: list[bytes] = []
-    for p in sorted(chosen, key=len, reverse=True):
-        if not any(k.startswith(p) and count[1][p] <= 1.05 * count[1][k] for k in kept):
-            kept.append(p)
-    toxic = b"".join(sorted(kept, key=lambda p: (count[1][p], p)))[-toxic_bytes:]
-    ordinary = b"".join(b" " + w + b" " for w, _ in sorted(words.items(), key=lambda x: (x[1], x[0])))[-ordinary_bytes:]
-    model = {"toxic": toxic, "ordinary": ordinary, "threshold": 0.5, "x": np.array([0.0]), "y": np.array([0.0])}
-    texts, labels = (texts[1::2], np.array(labels[1::2])) if len(texts) > 1 else (texts, np.array(labels))
-    if not toxic or not labels.any() or labels.all():
+    least = min(least, max(2, toxic_texts // 8))
+    rate = {p: (count[1][p] / n[1]) / ((count[0][p] + 0.5) / max(n[0], 1)) for p, c in seen.items() if c >= least}
+    sides: list[list[bytes]] = []
+    for low, high in ((strong, np.inf), (contrast, strong)):
+        kept: list[bytes] = []
+        longest: dict[bytes, int] = {}
+        for p in sorted((p for p, r in rate.items() if low <= r < high), key=lambda p: (-len(p), p)):
+            if seen[p] > 1.05 * longest.get(p, 0):
+                kept.append(p)
+                for k in range(1, len(p)):
+                    longest[p[:k]] = max(longest.get(p[:k], 0), seen[p])
+        sides.append(kept)
+    apart = {p for kept in sides for p in kept}
+    toxic = [b"".join(sorted(kept, key=lambda p: (seen[p], p)))[-toxic_bytes:] for kept in sides]
+    ordinary = b"".join(b" " + w + b" " for w, _ in sorted(words.items(), key=lambda x: (x[1], x[0])) if not _pieces(w) & apart)[-ordinary_bytes:]
+    model = {"toxic": toxic, "ordinary": ordinary, "threshold": 0.5, "rates": (np.ones(2), np.ones(2)), "x": np.array([0.0]), "y": np.array([0.0])}
+    texts, y = (texts[1::2], np.array(labels[1::2])) if len(texts) > 1 else (texts, np.array(labels))
+    if not apart or not y.any() or y.all():
         return model
-    distance = Distance(toxic, ordinary)
-    best = [max([distance(w) for w in set(tokens(t))], default=-1.0) for t in texts]
-    # the lowest threshold that no more than one in fifty passing texts is ordinary at
-    for t in np.arange(0.2, 0.8, 0.02):
-        hit = np.array(best) >= t
-        if hit.any() and labels[hit].mean() >= 0.98:
-            break
-    model["threshold"] = float(t)
-    model["x"], model["y"] = isotonic(np.array([distance.evidence(x, model["threshold"]) for x in texts]), labels.astype(float))
+    hits = Hits(model)
+    far = [hits.far(t) for t in texts]
+    best = -np.inf
+    for threshold in np.arange(0.3, 0.7, 0.04):
+        counts = np.array([Hits.count(d, threshold) for d in far])
+        rates = [(counts[y == k, :2].sum(0) + 0.5) / (counts[y == k, 2].sum() + 1) for k in (1, 0)]
+        rates[0] = np.maximum(*rates)
+        found = evidence(counts, *rates)
+        knots = isotonic(found, y.astype(float))
+        p = np.clip(np.interp(found, *knots), 1e-3, 1 - 1e-3)
+        if (fit := (y * np.log(p) + (1 - y) * np.log(1 - p)).sum()) > best:
+            best = fit
+            model |= {"threshold": float(threshold), "rates": tuple(rates), "x": knots[0], "y": knots[1]}
     return model
 
 
@@ -136,9 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 3000, max_chars: int = 5
 def score(docs: DataFrame, model: dict, to: str = "score") -> DataFrame:
     """docs with each whole text's probability of being toxic. Null and empty texts get the lowest."""
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        distance = Distance(model["toxic"], model["ordinary"])
+        hits = Hits(model)
         for texts in parts:
-            yield pd.Series(np.interp([distance.evidence(t, model["threshold"]) for t in texts], model["x"], model["y"]))
+            counts = np.array([Hits.count(hits.far(t), model["threshold"]) for t in texts], float).reshape(-1, 3)
+            yield pd.Series(np.interp(evidence(counts, *model["rates"]), model["x"], model["y"]))
 
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(to, F.pandas_udf(run, "double")(F.col("text").cast("string")))

@@ -214,7 +214,7 @@ def test_op9_held_out(spark, odd, none):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = [r for r in toxicity.op9_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
     hit = sum(r.predicted for r in rows if labels[r.doc_id])
-    assert hit >= 0.6 * sum(labels[r.doc_id] for r in rows) and sum(r.predicted for r in rows) - hit <= 0.01 * len(rows)
+    assert hit >= 0.85 * sum(labels[r.doc_id] for r in rows) and sum(r.predicted for r in rows) - hit <= 0.01 * len(rows)
     model = toxicity.train(["you idiot fool"] * 40 + ["a nice day"] * 40, [1] * 40 + [0] * 40)
     assert len(toxicity.score(odd, model).collect()) == len(ODD) and toxicity.score(none, model).count() == 0
 
