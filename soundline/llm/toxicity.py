@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 GUARD = bytes(range(1, 17))
 _SPACED = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-LEVEL, MIN_MATCH, HEAD, CACHE = 3, 5, 6, 200_000
+LEVEL, MIN_MATCH, HEAD, CACHE = 3, 5, 6, 100_000
 NOTHING = -1e6
 
 
@@ -45,40 +45,39 @@ def _compressor(segments: bytes):
 
 
 class Distance:
-    """Distances of words under a toxic and the ordinary dictionary; remembers those of recent words."""
+    """Distances of words under the strong and the mild toxic dictionary; remembers those of recent words.
 
-    def __init__(self, toxic: bytes, ordinary: bytes):
-        self.toxic, self.ordinary, self.known = _compressor(toxic), _compressor(ordinary), {}
+    With a threshold, what is kept of a word is 1 for a strong hit, 2 for a mild one (a word that is both counts as
+    strong) and 0 for none; a small number takes less memory than two distances.
+    """
+
+    def __init__(self, model: dict, threshold: float | None = None):
+        self.ordinary, self.toxic = _compressor(model["ordinary"]), [_compressor(x) for x in model["toxic"]]
+        self.threshold, self.known = threshold, {}
 
-    def window(self, segment: bytes) -> float:
+    def window(self, segment: bytes) -> list[float]:
         framed = GUARD + segment + GUARD
-        return (len(self.ordinary(framed)) - len(self.toxic(framed))) / len(segment)
+        least = len(self.ordinary(framed))
+        return [(least - len(toxic(framed))) / len(segment) for toxic in self.toxic]
 
-    def __call__(self, word: bytes) -> float:
+    def __call__(self, word: bytes):
         got = self.known.get(word)
         if got is None:
             if len(self.known) >= CACHE:
                 self.known.clear()
-            got = self.window(b" " + word + b" ")
+            strong, mild = self.window(b" " + word + b" ")
             if len(word) > HEAD:
-                got = max(got, self.window(b" " + word[:HEAD]))
+                head = self.window(b" " + word[:HEAD])
+                strong, mild = max(strong, head[0]), max(mild, head[1])
+            got = (strong, mild) if self.threshold is None else 1 if strong >= self.threshold else 2 if mild >= self.threshold else 0
             self.known[word] = got
         return got
 
 
-class Hits:
-    """(strong hits, mild hits, words) of a text; a word that is both counts as strong."""
-
-    def __init__(self, model: dict):
-        self.strong, self.mild = (Distance(x, model["ordinary"]) for x in model["toxic"])
-
-    def far(self, text: str | None) -> np.ndarray:
-        return np.array([(self.strong(w), self.mild(w)) for w in tokens(text)]).reshape(-1, 2)
-
-    @staticmethod
-    def count(far: np.ndarray, threshold: float) -> tuple[int, int, int]:
-        hit = far >= threshold
-        return int(hit[:, 0].sum()), int((hit[:, 1] & ~hit[:, 0]).sum()), len(far)
+def tally(far: np.ndarray, threshold: float) -> tuple[int, int, int]:
+    """(strong hits, mild hits, words) of a text's distances."""
+    hit = far >= threshold
+    return int(hit[:, 0].sum()), int((hit[:, 1] & ~hit[:, 0]).sum()), len(far)
 
 
 def evidence(counts: np.ndarray, toxic_rates: np.ndarray, ordinary_rates: np.ndarray) -> np.ndarray:
@@ -138,11 +137,11 @@ def train(texts: list[str], labels: list[int], least: int = 4, contrast: float =
     texts, y = (texts[1::2], np.array(labels[1::2])) if len(texts) > 1 else (texts, np.array(labels))
     if not apart or not y.any() or y.all():
         return model
-    hits = Hits(model)
-    far = [hits.far(t) for t in texts]
+    distance = Distance(model)
+    far = [np.array([distance(w) for w in tokens(t)]).reshape(-1, 2) for t in texts]
     best = -np.inf
     for threshold in np.arange(0.3, 0.7, 0.04):
-        counts = np.array([Hits.count(d, threshold) for d in far])
+        counts = np.array([tally(d, threshold) for d in far])
         rates = [(counts[y == k, :2].sum(0) + 0.5) / (counts[y == k, 2].sum() + 1) for k in (1, 0)]
         rates[0] = np.maximum(*rates)
         found = evidence(counts, *rates)
@@ -178,9 +177,12 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 3000, max_chars: int = 5
 def score(docs: DataFrame, model: dict, to: str = "score") -> DataFrame:
     """docs with each whole text's probability of being toxic. Null and empty texts get the lowest."""
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hits = Hits(model)
+        distance = Distance(model, model["threshold"])
         for texts in parts:
-            counts = np.array([Hits.count(hits.far(t), model["threshold"]) for t in texts], float).reshape(-1, 3)
+            counts = np.zeros((len(texts), 3))
+            for i, t in enumerate(texts):
+                levels = [distance(w) for w in tokens(t)]
+                counts[i] = levels.count(1), levels.count(2), len(levels)
             yield pd.Series(np.interp(evidence(counts, *model["rates"]), model["x"], model["y"]))
 
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
