@@ -461,16 +461,38 @@ def navmesh_triangulate(spark, d):
     return p.groupBy("cx", "cy").applyInPandas(run, "cx long, cy long, triangle long, corners array<long>, across array<int>")
 
 
+SHORTEST_SPUR, LONGEST_SEGMENT = 60.0, 100.0
+
+
 @query()
 def skeleton_network(spark, d):
-    """Chains of the skeleton of each piece's raster, with the water's width along them."""
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        w, h = int((f["maxx"].iloc[0] - f["minx"].iloc[0]) // 60), int((f["maxy"].iloc[0] - f["miny"].iloc[0]) // 60)
-        mask = np.ones((3 * w + 12, h + 4), bool)
-        width, found = np.sqrt(R.distance2(mask)) * 120, R.chains(R.thin(mask))
-        return pd.DataFrame({"band_id": f["band_id"].iloc[0], "chain": range(len(found)), "pixels": [len(c) for c in found], "min_width": [float(min(width[p] for p in c)) for c in found]})
+    """Segments of the skeleton of each band without the land it meets, with the water's width along them."""
+    return skeletons(layer(spark, d, "depth_bands"), layer(spark, d, "chart_land"))
+
+
+def skeletons(bands: DataFrame, land: DataFrame, size: float | None = None, shortest: float = SHORTEST_SPUR, longest: float = LONGEST_SEGMENT) -> DataFrame:
+    """Of each of bands(band_id, box): chains of its raster's skeleton, pruned and cut into segments of about longest.
 
-    return layer(spark, d, "depth_bands").filter("band_id % 20 = 0").groupBy("band_id").applyInPandas(run, "band_id long, chain long, pixels long, min_width double")
+    Pixels are as R.pixel_size says, or of the given size.
+    """
+    names = ["minx", "miny", "maxx", "maxy"]
+
+    def run(frames):
+        for f in frames:
+            out = []
+            for band, box, lands in zip(f["band_id"], f[names].to_numpy(), f["land"], strict=True):
+                px = size or R.pixel_size(box[2] - box[0], box[3] - box[1])
+                mask = R.water(tuple(box), [] if lands is None else [tuple(x[n] for n in names) for x in lands], px)
+                width = 2 * px * np.sqrt(R.distance2(mask))
+                for i, chain in enumerate(R.prune(R.chains(R.medial_axis(mask)), px, shortest)):
+                    for j, part in enumerate(R.resample(chain, px, longest)):
+                        out.append((band, i, j, len(part), R.chain_length(part, px), float(min(width[p] for p in part))))
+            yield pd.DataFrame(out, columns=["band_id", "chain", "segment", "pixels", "length", "min_width"])
+
+    bands = bands.select("band_id", *names)
+    met = spatial.box_join(bands, land.select(*names)).groupBy(F.col("l.band_id").alias("band_id")).agg(F.collect_list("r").alias("land"))
+    dealt = bands.join(met, "band_id", "left").repartition("band_id")
+    return dealt.mapInPandas(run, "band_id long, chain long, segment long, pixels long, length double, min_width double")
 
 
 # Not operators of the chart engine, but of Spark: they come with the same entry points.
