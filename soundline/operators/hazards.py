@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import attributes as A
-from ..functions.geometry import segment_meets_rectangle
+from ..functions.geometry import point_segment_t, segment_meets_rectangle
 from .spatial import box_join
 
 
@@ -74,3 +74,35 @@ def classify_water(pieces: DataFrame, bands: DataFrame, fairways: DataFrame, cei
     is_wide = F.least(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) >= wide
     kind = F.when(is_wide & F.coalesce("deep", F.lit(False)), "navmesh").when(F.coalesce("laned", F.lit(False)), "laned").otherwise("skeleton")
     return pieces.join(deep, "band_id", "left").join(laned, "band_id", "left").select("band_id", kind.alias("kind"))
+
+
+def distance_to_land(ends: DataFrame, land: DataFrame, reach: float = 2000) -> DataFrame:
+    """(u, v, distance_to_land) of every edge, to two decimals; 9999 where there is no land at all.
+
+    The reach doubles for those edges alone that haven't land within it; a distance within the reach is exact.
+    """
+    none = F.lit(9999.0).alias("distance_to_land")
+    if land.isEmpty():
+        return ends.select("u", "v", none)
+    x1, y1, x2, y2 = (F.col(f"l.{c}").cast("double") for c in ("x1", "y1", "x2", "y2"))
+    minx, miny, maxx, maxy = (F.col(f"r.{c}").cast("double") for c in ("minx", "miny", "maxx", "maxy"))
+    sq = lambda c: c * c
+
+    def corner(x, y):
+        t = point_segment_t(x, y, x1, y1, x2, y2)
+        return sq(x1 + t * (x2 - x1) - x) + sq(y1 + t * (y2 - y1) - y)
+
+    end = lambda x, y: sq(F.greatest(minx - x, x - maxx, F.lit(0.0))) + sq(F.greatest(miny - y, y - maxy, F.lit(0.0)))
+    apart = F.least(*(corner(x, y) for x in (minx, maxx) for y in (miny, maxy)), end(x1, y1), end(x2, y2))
+    d2 = F.when(segment_meets_rectangle(x1, y1, x2, y2, minx, miny, maxx, maxy), 0.0).otherwise(apart)
+    found, todo = None, ends
+    while True:
+        pairs = box_join(todo, land, margin=reach, size=reach)
+        near = pairs.select(F.col("l.u").alias("u"), F.col("l.v").alias("v"), d2.alias("d2")).groupBy("u", "v").agg(F.min("d2").alias("d2"))
+        near = near.filter(F.col("d2") <= reach * reach).persist()
+        done = near.select("u", "v", F.round(F.sqrt("d2"), 2).alias("distance_to_land"))
+        found = done if found is None else found.unionByName(done)
+        todo = todo.join(near, ["u", "v"], "left_anti").persist()
+        if todo.isEmpty():
+            return found
+        reach *= 2

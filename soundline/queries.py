@@ -137,6 +137,18 @@ def node_distance_to_land(spark, d):
     return pairs.select(F.col("l.k").alias("k"), d2.alias("d2")).filter("d2 <= 4000000").groupBy("k").agg(F.min("d2").alias("d2"))
 
 
+_CORNER = " ".join(f"least(pow(x1 + t{i}*(x2-x1) - {x}, 2) + pow(y1 + t{i}*(y2-y1) - {y}, 2)," for i, (x, y) in enumerate((x, y) for x in ("minx", "maxx") for y in ("miny", "maxy")))
+_T = ", ".join(f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, coalesce((({x}-x1)*(x2-x1) + ({y}-y1)*(y2-y1)) / nullif((x2-x1)*(x2-x1) + (y2-y1)*(y2-y1), 0)::DOUBLE, 0))) AS t{i}" for i, (x, y) in enumerate((x, y) for x in ("minx", "maxx") for y in ("miny", "maxy")))
+_END = "pow(greatest(minx-x{0}, x{0}-maxx, 0), 2) + pow(greatest(miny-y{0}, y{0}-maxy, 0), 2)"
+
+
+@query(f"""WITH {_E}, t AS (SELECT *, {_T} FROM e CROSS JOIN {{chart_land}} l),
+  r AS (SELECT u, v, min(CASE WHEN {_MEETS} THEN 0 ELSE {_CORNER} least({_END.format(1)}, {_END.format(2)}))))) END) AS d2 FROM t GROUP BY u, v)
+  SELECT e.u, e.v, coalesce(round(sqrt(d2), 2), 9999.0::DOUBLE) AS distance_to_land FROM e LEFT JOIN r ON e.u = r.u AND e.v = r.v""")
+def edge_distance_to_land(spark, d):
+    return hazards.distance_to_land(ends(spark, d), layer(spark, d, "chart_land"))
+
+
 _NODE_ID = "CASE WHEN node_type = 'inland' THEN 648000000000000 ELSE 0 END + CAST(floor((round(lat_e5/100000.0::DOUBLE, 5) + 90.0::DOUBLE)*100000) AS BIGINT)*36000000 + CAST(floor((round(lon_e5/100000.0::DOUBLE, 5) + 180.0::DOUBLE)*100000) AS BIGINT)"
 
 
