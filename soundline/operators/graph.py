@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,38 +94,48 @@ def quadrant_nearest(pairs: DataFrame) -> DataFrame:
     return pairs.filter("l.k <> r.k").withColumn("quadrant", q).withColumn("rn", F.row_number().over(w)).filter("rn = 1").select(F.col("l.k").alias("k"), "quadrant", F.col("r.k").alias("near"), "d2")
 
 
-def capped_connectors(candidates: DataFrame, cap: int, group: str = "g") -> DataFrame:
-    """Greedy links of candidates(g, a, b, d2), nearest first, with at most cap links at each node. One task a group."""
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        used: dict[int, int] = {}
-        keep = np.zeros(len(f), bool)
-        f = f.sort_values(["d2", "a", "b"], ignore_index=True)
-        for i, (a, b) in enumerate(zip(f["a"], f["b"], strict=True)):
-            if used.get(a, 0) < cap and used.get(b, 0) < cap:
-                keep[i] = True
-                used[a], used[b] = used.get(a, 0) + 1, used.get(b, 0) + 1
-        return f.loc[keep, [group, "a", "b", "d2"]]
-
-    return candidates.select(group, "a", "b", "d2").groupBy(group).applyInPandas(run, f"{group} long, a long, b long, d2 long")
-
-
-def stitch(candidates: DataFrame, group: str = "g") -> DataFrame:
-    """Links of candidates(g, a, b, d2), nearest first, that join two pieces each (union-find within a group)."""
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        up: dict[int, int] = {}
-
-        def find(x):
-            while (y := up.get(x, x)) != x:
-                up[x] = up.get(y, y)
-                x = y
-            return x
-
-        f = f.sort_values(["d2", "a", "b"], ignore_index=True)
-        keep = np.zeros(len(f), bool)
-        for i, (a, b) in enumerate(zip(f["a"], f["b"], strict=True)):
-            if (p := find(a)) != (q := find(b)):
-                up[max(p, q)] = min(p, q)
-                keep[i] = True
-        return f.loc[keep, [group, "a", "b", "d2"]]
-
-    return candidates.select(group, "a", "b", "d2").groupBy(group).applyInPandas(run, f"{group} long, a long, b long, d2 long")
+def capped_connectors(candidates: DataFrame, existing: DataFrame, cap: int) -> DataFrame:
+    """Greedy links of candidates(a, b, d2), nearest first, with at most cap links at each node, existing(u, v) included.
+
+    Rounds take the links that are among the nearest that both their nodes still have room for, which are those that
+    one walk over all of them in order takes. Pairs that are linked already are no candidates.
+    """
+    from .components import written
+
+    pair = lambda df, a, b: df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    links = written(pair(existing, "u", "v").distinct())
+    c = candidates.select("a", "b", "d2", F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).filter("a <> b").distinct()
+    c = written(c.join(links.toDF("_a", "_b"), ["_a", "_b"], "left_anti").select("a", "b", "d2"))
+    used = links.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    found = c.limit(0)
+    while not c.isEmpty():
+        ends = c.select("a", "b", "d2", F.explode(F.array("a", "b")).alias("k")).join(used, "k", "left")
+        ends = ends.withColumn("room", F.lit(cap) - F.coalesce("n", F.lit(0))).withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("d2", "a", "b")))
+        state = written(ends.groupBy("a", "b", "d2").agg(F.min(F.col("rank") <= F.col("room")).alias("taken"), F.min("room").alias("room")).filter("room > 0"))
+        new = state.filter("taken").select("a", "b", "d2")
+        found = found.unionByName(new)
+        used = written(used.unionByName(new.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("n"))).groupBy("k").agg(F.sum("n").alias("n")))
+        c = state.filter("not taken").select("a", "b", "d2")
+    return found
+
+
+def stitch(candidates: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Links of candidates(a, b, d2), nearest first, that join two of pieces(k, component) each.
+
+    In rounds each piece takes its nearest link, and pieces so joined become one. As (d2, a, b) orders all links, these
+    are the links that one walk over all of them in order takes.
+    """
+    from .components import connected_components, written
+
+    c = candidates.select("a", "b", "d2").distinct()
+    c = c.join(pieces.select(F.col("k").alias("a"), F.col("component").alias("p")), "a").join(pieces.select(F.col("k").alias("b"), F.col("component").alias("q")), "b")
+    c = written(c.filter("p <> q").select("a", "b", "d2", "p", "q"))
+    found = c.limit(0).select("a", "b", "d2")
+    while not c.isEmpty():
+        best = c.select(F.explode(F.array("p", "q")).alias("piece"), F.struct("d2", "a", "b", "p", "q").alias("e")).groupBy("piece").agg(F.min("e").alias("e"))
+        best = written(best.select("e.*").distinct())
+        found = found.unionByName(best.select("a", "b", "d2"))
+        joined = connected_components(best.select(F.col("p").alias("u"), F.col("q").alias("v")), best.select(F.explode(F.array("p", "q")).alias("k")).distinct())
+        c = c.join(joined.toDF("p", "_p"), "p").join(joined.toDF("q", "_q"), "q").filter("_p <> _q")
+        c = written(c.select("a", "b", "d2", F.col("_p").alias("p"), F.col("_q").alias("q")))
+    return found

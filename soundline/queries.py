@@ -283,17 +283,21 @@ def nearest_vectors(asked: DataFrame, rows: DataFrame, k: int, block: int = 512,
 
 @query()
 def capped_connectors(spark, d):
-    p = points(spark, d)
+    """Links from inland to coastal nodes, nearest first, at most two a node with those that the chart has."""
+    p, e = points(spark, d), layer(spark, d, "chart_edges")
     pairs = spatial.radius_join(p.filter("node_type = 'inland'"), p.filter("node_type = 'coastal'"), 1500)
-    return graph.capped_connectors(pairs.select(F.floor(F.col("l.y") / 20000).cast("long").alias("g"), F.col("l.k").alias("a"), F.col("r.k").alias("b"), "d2"), 2)
+    kind = p.select("k", "node_type")
+    both = e.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    cross = both.join(kind.toDF("u", "s"), "u").join(kind.toDF("v", "t"), "v").filter("s <> t").select("u", "v")
+    return graph.capped_connectors(pairs.select(F.col("l.k").alias("a"), F.col("r.k").alias("b"), "d2"), cross, 2)
 
 
 @query()
 def stitch_components(spark, d):
-    """Links that join separate pieces of each strip of the chart, nearest first."""
+    """Links that join separate pieces of the chart, nearest first."""
     p = points(spark, d)
     pairs = spatial.radius_join(p, p, 1500).filter("l.k < r.k")
-    return graph.stitch(pairs.select(F.floor(F.col("l.y") / 20000).cast("long").alias("g"), F.col("l.k").alias("a"), F.col("r.k").alias("b"), "d2"))
+    return graph.stitch(pairs.select(F.col("l.k").alias("a"), F.col("r.k").alias("b"), "d2"), _components(spark, d))
 
 
 _CC = """WITH RECURSIVE s AS (SELECT u, v FROM {chart_edges} UNION ALL SELECT v, u FROM {chart_edges}), r AS (SELECT k, k AS c FROM {chart_nodes} UNION SELECT s.v, r.c FROM r JOIN s ON s.u = r.k AND r.c < s.v), comp AS (SELECT k, min(c) AS component FROM r GROUP BY k) """
