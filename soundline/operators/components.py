@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir; an own one only in local mode, where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='soundline-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
