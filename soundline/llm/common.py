@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,15 +19,26 @@ LINKS = "a long, b long"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where that is unset (tests)."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; an own one only in local mode, where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='soundline-')}"
-        spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def release() -> None:
+    """Give memory that a partition no longer needs back to the system: Python workers are kept and used again."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends here and lost executors lose nothing."""
     spark = df.sparkSession

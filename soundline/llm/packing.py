@@ -95,20 +95,21 @@ def pieces_of(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2
     or empty text is end_id alone. Rows stay apart whatever their doc_id. Without keep_ids the ids are left out.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunked, uid = shared(path, kind), TaskContext.get().partitionId() << 40
-        for f in frames:
-            texts = [t if isinstance(t, str) else None for t in f["text"]]
-            for a, b in portions(texts):
-                rows = []
-                for doc, ids in zip(f["doc_id"].iloc[a:b], chunked.encode(texts[a:b]), strict=True):
-                    raw = ids.tobytes() + np.array([end_id], "<u4").tobytes()
-                    for i, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[at : at + 4 * capacity]
-                        rows.append((uid, None if pd.isna(doc) else int(doc), i, at // 4, len(part) // 4, part if keep_ids else None, zlib.crc32(part)))
-                        uid += 1
-                out = pd.DataFrame(rows, columns=["uid", "doc_id", "piece", "start", "length", "ids", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+        uid = TaskContext.get().partitionId() << 40
+        with shared(path, kind) as chunked:
+            for f in frames:
+                texts = [t if isinstance(t, str) else None for t in f["text"]]
+                for a, b in portions(texts):
+                    rows = []
+                    for doc, ids in zip(f["doc_id"].iloc[a:b], chunked.encode(texts[a:b]), strict=True):
+                        raw = ids.tobytes() + np.array([end_id], "<u4").tobytes()
+                        for i, at in enumerate(range(0, len(raw), 4 * capacity)):
+                            part = raw[at : at + 4 * capacity]
+                            rows.append((uid, None if pd.isna(doc) else int(doc), i, at // 4, len(part) // 4, part if keep_ids else None, zlib.crc32(part)))
+                            uid += 1
+                    out = pd.DataFrame(rows, columns=["uid", "doc_id", "piece", "start", "length", "ids", "ids_crc32"])
+                    out["doc_id"] = out["doc_id"].astype("Int64")
+                    yield out
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInPandas(run, "uid long, doc_id long, piece int, start long, length long, ids binary, ids_crc32 long")

@@ -101,13 +101,18 @@ def test_op3_links_across_cells(spark):
 
 
 def test_op4_coder_and_files(spark, odd, none):
-    x = np.random.default_rng(0).zipf(1.2, (200, 70)).clip(0, 65535).astype(np.uint32)
-    x[:, 0], x[:, 1] = 65535, 0
+    rng = np.random.default_rng(0)
+    x = rng.zipf(1.2, (200, 70)).clip(0, 65535).astype(np.uint32)
+    x[:, 0], x[:, 1], x[:, 2], x[:, 3] = 65535, 0, rng.integers(0, 2**32, 200), 2**32 - 1
     assert (token_files.decode_lanes(token_files.encode_lanes(x), 200) == x).all()
     body = token_files.write_segment([1, None], [x[0], x[1][:0]])
-    assert token_files.read_segment(body)[0] == [1, None]
+    doc_ids, ids = token_files.read_segment(body)
+    assert doc_ids == [1, None] and [i.tolist() for i in ids] == [x[0].tolist(), []]
+    for at in (4, token_files.HEAD.size + 1, token_files.HEAD.size + 36, len(body) - 1):
+        with pytest.raises(ValueError):
+            token_files.read_segment(body[:at] + bytes([body[at] ^ 1]) + body[at + 1 :])
     with pytest.raises(ValueError):
-        token_files.read_segment(body[:-1] + bytes([body[-1] ^ 1]))
+        token_files.read_segment(body[:-3])
     tok = tokens.Chunked(P.path("byte_bpe_50k.json"), "spaces").tokenizer
     at, want = 0, {}
     for i, t in sorted(texts(spark)):
@@ -115,15 +120,28 @@ def test_op4_coder_and_files(spark, odd, none):
         want[i] = (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.op4_token_files(spark, SF).collect()} == want
-    rows = token_files.read(token_files.write(odd, P.path("byte_bpe_50k.json"), shards=2, segment_ids=50)).collect()
-    assert len(rows) == len(ODD) and min(rows, key=lambda r: r.start).doc_id is None and sum(r.n_tokens for r in rows) == max(r.start + r.n_tokens for r in rows)
+    files = token_files.write(odd, P.path("byte_bpe_50k.json"), shards=2, segment_ids=50)
+    for most in (1_000_000, 0):
+        rows = token_files.read(files, most).collect()
+        assert len(rows) == len(ODD) and min(rows, key=lambda r: r.start).doc_id is None and sum(r.n_tokens for r in rows) == max(r.start + r.n_tokens for r in rows)
     assert token_files.read(token_files.write(none, P.path("byte_bpe_50k.json"))).count() == 0
 
 
+def test_op4_beats_single_frequencies(spark):
+    """Blocks that start afresh take no more than the entropy of the ids' frequencies over the whole table."""
+    c = tokens.Chunked(P.path("byte_bpe_50k.json"), "spaces")
+    own = [t for _, t in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").limit(1500).collect()]
+    ids = np.concatenate([i for a, b in tokens.portions(own) for i in c.encode(own[a:b])])
+    ids = ids[: len(ids) // token_files.BLOCK * token_files.BLOCK]
+    n = np.bincount(ids)
+    bound = -(n[n > 0] * np.log2(n[n > 0] / len(ids))).sum() / 8
+    assert len(token_files.write_segment([1], [ids])) <= bound
+
+
 @pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
 def test_chunks_as_whole_texts(name, kind):
     c = tokens.Chunked(P.path(name), kind, most=20)
-    odd = ["", " ", "  a", "a  b", "a\n b", "x\x1cy z", "<|endoftext|> hi", "é ́x ñ", "it's 'll  \t x", "a\x85b c", "　x y", "lead ", "#*$% && |", "A" * 300 + " b"]
+    odd = ["", " ", "  a", "a  b", "a \x01 b", "\n\n x\ny", " lead", "a ", "a\n b", "x\x1cy z", "<|endoftext|> hi", "é ́x ñ", "it's 'll  \t x", "a\x85b c", "　x y", "lead ", "#*$% && |", "A" * 300 + " b"]
     for _ in range(2):
         assert [x.tolist() for x in c.encode(odd)] == [c.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
