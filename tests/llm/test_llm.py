@@ -228,13 +228,38 @@ def test_op8_recall(spark):
 
 
 def test_op9_held_out(spark, odd, none):
+    """Better than the base rate on rows whose labels are never read by fit; the settings come from cross-validation within the others."""
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = [r for r in toxicity.op9_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
-    hit = sum(r.predicted for r in rows if labels[r.doc_id])
-    assert hit >= 0.85 * sum(labels[r.doc_id] for r in rows) and sum(r.predicted for r in rows) - hit <= 0.01 * len(rows)
-    model = toxicity.train(["you idiot fool"] * 40 + ["a nice day"] * 40, [1] * 40 + [0] * 40)
+    assert all((r.score >= 0.7) == bool(r.predicted) and 0 <= r.score <= 1 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    y, p = np.array([labels[r.doc_id] for r in rows]), np.clip([r.score for r in rows], 1e-3, 1 - 1e-3)
+    loss = lambda q: -np.mean(y * np.log(q) + (1 - y) * np.log(1 - q))
+    assert loss(p) < 0.6 * loss(y.mean()) and y[p >= 0.7].mean() > 0.9
+
+
+def test_op9_windows_and_training(spark, odd, none):
+    raw = toxicity.plain("One TWO, three four\tfive six seven " + "x" * 900)
+    assert raw.startswith(b" ONE TWO THREE FOUR FIVE SIX SEVENx"[:27]) and toxicity.plain("123 !") == toxicity.plain(None) == b""
+    at = toxicity.windows(raw).astype(int)
+    assert at[:, 1].max() <= toxicity.LONGEST and set(range(len(raw))) == {i for a, n in at for i in range(a, a + n)}
+    assert toxicity.windows(b"").shape == (0, 2)
+    rng = np.random.default_rng(3)
+    prose = [" ".join(rng.choice(["river", "stone", "meadow", "garden", "window", "table"], 30)) for _ in range(240)]
+    bad = [p + " you worthless rotten toad " + p for p in prose[:80]]
+    rows = [(t, 1) for t in bad] + [(t, 0) for t in prose[80:]]
+    model = toxicity.train([t for t, _ in rows], [y for _, y in rows])
+    again = toxicity.train([t for t, _ in rows[::-1]], [y for _, y in rows[::-1]])
+    distance = toxicity.Distance(model["bodies"])
+    high, low = toxicity.probabilities(["a garden, worthless rotten toad"], model, distance), toxicity.probabilities(["a river garden table", None, ""], model, distance)
+    assert high[0] > 0.7 and (low < 0.5).all() and model["bodies"] == again["bodies"] and model["thresholds"] == again["thresholds"]
     assert len(toxicity.score(odd, model).collect()) == len(ODD) and toxicity.score(none, model).count() == 0
+    for labels in ([], [0], [1], [1, 1]):
+        one = toxicity.train(["text"] * len(labels), labels)
+        assert toxicity.probabilities(["text", None], one, toxicity.Distance(one["bodies"])).tolist() == [float(bool(labels) and all(labels))] * 2
+    docs = spark.createDataFrame([(1, "a b"), (1, "c d"), (2, None), (None, "e")], "doc_id long, text string")
+    told = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    assert toxicity.score(docs, toxicity.fit(docs, told.limit(0))).count() == toxicity.score(docs, toxicity.fit(docs, told)).count() == 4
 
 
 def test_op10_as_sql(spark, odd, none):
