@@ -11,7 +11,8 @@ strings that start at positions still in question, drop the unique ones and pass
 
 In each round a block of texts sends every distinct rank once to the bucket that the rank falls in; buckets sort what
 they get, and answer one bit a rank. So a passage that a third of all texts share costs a row a block, not a text.
-Ranks are 64-bit hashes of exact strings.
+A rank is a 64-bit hash of an exact string, and a second hash with another base confirms that strings of equal rank are
+equal: 96 bits have to agree before a byte goes.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, store
+from .common import release, store
 
 U = np.uint64
 GRAM, WINDOW = 8, 64
+FINAL = 1_000_000_000  # added to the buckets of the last round
 _ROW = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("body", pa.binary())])
 _ROW_SQL = "block string, bucket int, body binary"
-_BASE = 0x9E3779B97F4A7C15 | 5
-_CODE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_CODES = np.random.default_rng(7).integers(1, 2**63, (2, 256), dtype=np.uint64)
+NO_RANKS = np.empty((0, 2), U)
 
 
 def _mix(a: np.ndarray) -> np.ndarray:
@@ -41,10 +44,9 @@ def _mix(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> U(32))
 
 
-@lru_cache(1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(n, _BASE, U)
-    down = np.full(n, pow(_BASE, -1, 2**64), U)
+@lru_cache(2)
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(n, base, U), np.full(n, pow(base, -1, 2**64), U)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
@@ -82,8 +84,11 @@ class _Text:
         self.p = p = positions(x) if self.last >= 0 else np.empty(0, np.int64)
         if not len(p):
             return
-        up, self.down = _powers(1 << max(17, (self.n + 1).bit_length()))
-        self.sum = np.concatenate([[U(0)], np.cumsum(_CODE[x] * up[: self.n], dtype=U)])
+        self.sum, self.down = [], []
+        for base, code in zip(_BASES, _CODES, strict=True):
+            up, down = _powers(1 << max(17, (self.n + 1).bit_length()), base)
+            self.sum.append(np.concatenate([[U(0)], np.cumsum(code[x] * up[: self.n], dtype=U)]))
+            self.down.append(down)
         reach = length - GRAM - 3 * WINDOW + 3
         end = np.searchsorted(p, p + reach, side="right") - 1
         self.half_at = np.flatnonzero(end > np.arange(len(p)))
@@ -93,8 +98,10 @@ class _Text:
         self.whole = self.rank(p[self.whole_at], p[need[self.whole_at]])
 
     def rank(self, a: np.ndarray, b) -> np.ndarray:
-        h = (self.sum[b] - self.sum[a]) * self.down[a]
-        return _mix(h + (np.asarray(b - a).astype(U) * U(0xD6E8FEB86659FD93)))
+        """[string, (rank, confirming hash of 32 bits)] of the bytes from a to b."""
+        size = np.asarray(b - a).astype(U) * U(0xD6E8FEB86659FD93)
+        rank, more = (_mix((total[b] - total[a]) * down[a] + size) for total, down in zip(self.sum, self.down, strict=True))
+        return np.stack([rank, more >> U(32)], 1)
 
     def asked(self, half: np.ndarray, whole: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(covered, ends, shown): starts of strings known to repeat, of those to ask for, of those to show to others."""
@@ -114,7 +121,7 @@ class _Text:
         return s[known], s[live & ~known], s[known & mine[span]]
 
     def strings(self, s: np.ndarray) -> np.ndarray:
-        return self.rank(s, s + self.length) if len(s) else np.empty(0, U)
+        return self.rank(s, s + self.length) if len(s) else NO_RANKS
 
 
 def _texts(table: pa.Table) -> list[bytes]:
@@ -143,29 +150,48 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, _ROW.types, strict=True)], schema=_ROW)
 
 
+def _distinct(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ranks in order; for each the place where it first occurs; each rank's place among them; their counts."""
+    order = np.lexsort((ranks[:, 1], ranks[:, 0]))
+    own = ranks[order]
+    new = np.concatenate([[True], (own[1:] != own[:-1]).any(1)])[: len(own)]
+    at = np.flatnonzero(new)
+    inverse = np.empty(len(own), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return own[at], order[at], inverse, np.diff(np.append(at, len(own)))
+
+
+def _dealt(own: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order by bucket, where each bucket starts in it) of distinct ranks."""
+    bucket = (own[:, 0] % U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
 def _send(name: str, ranks: np.ndarray, buckets: int) -> list[tuple]:
     """Rows of the distinct ranks for their buckets, sorted."""
-    own = np.unique(ranks)
-    bucket = (own % U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    return [(name, int(b), own[order[cuts[b] : cuts[b + 1]]].astype("<u8").tobytes()) for b in np.flatnonzero(np.diff(cuts))]
+    own = _distinct(ranks)[0]
+    order, cuts = _dealt(own, buckets)
+    parts = ((int(b), own[order[cuts[b] : cuts[b + 1]]]) for b in np.flatnonzero(np.diff(cuts)))
+    return [(name, b, p[:, 0].astype("<u8").tobytes() + p[:, 1].astype("<u4").tobytes()) for b, p in parts]
+
+
+def _ranks(body: bytes) -> np.ndarray:
+    n = len(body) // 12
+    return np.stack([np.frombuffer(body, "<u8", n), np.frombuffer(body, "<u4", n, 8 * n).astype(U)], 1)
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """For each block's ranks: whether another block has the rank too, and whether this block is to represent it."""
-    order = np.argsort(np.array(table["block"].to_pylist()), kind="stable")
     names, bodies = table["block"].to_pylist(), table["body"].to_pylist()
     bucket = table["bucket"][0].as_py()
-    all_ = [np.frombuffer(bodies[i], "<u8") for i in order]
-    flat = np.concatenate(all_)
-    by = np.argsort(flat, kind="stable")
-    same = flat[by][1:] == flat[by][:-1]
-    shared, first = np.zeros(len(flat), bool), np.ones(len(flat), bool)
-    shared[by[1:][same]] = shared[by[:-1][same]] = True
-    first[by[1:][same]] = False
+    turns = sorted(range(len(names)), key=names.__getitem__)
+    all_ = [_ranks(bodies[i]) for i in turns]
+    _, where, inverse, count = _distinct(np.concatenate(all_))
+    shared, first = (count > 1)[inverse], np.zeros(len(inverse), bool)
+    first[where] = True
     out, at = [], 0
-    for i, a in zip(order, all_, strict=True):
+    for i, a in zip(turns, all_, strict=True):
         out.append((names[i], -2 - bucket, np.packbits(np.concatenate([shared[at : at + len(a)], first[at : at + len(a)]])).tobytes()))
         at += len(a)
     return pa.Table.from_batches([_rows(out)])
@@ -175,10 +201,8 @@ def _read(ranks: np.ndarray, answers: dict[int, bytes], buckets: int) -> tuple[n
     """(repeated, represented here) for each of ranks, which _send sent."""
     if not len(ranks):
         return np.empty(0, bool), np.empty(0, bool)
-    own, where, inverse, count = np.unique(ranks, return_index=True, return_inverse=True, return_counts=True)
-    bucket = (own % U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    own, where, inverse, count = _distinct(ranks)
+    order, cuts = _dealt(own, buckets)
     shared, first = np.zeros(len(own), bool), np.zeros(len(own), bool)
     for b in np.flatnonzero(np.diff(cuts)):
         n = cuts[b + 1] - cuts[b]
@@ -193,13 +217,15 @@ def _split(flat: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(sizes)[:-1]) if sizes else []
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = None, block_bytes: int = 4_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = None, block_bytes: int = 4_000_000, bucket_bytes: int = 32_000_000) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans (maximal runs removed) and kept (the bytes that stay, as binary).
 
     Texts are judged as UTF-8 bytes and never across their ends; null and empty texts have no bytes. Repeated rows
     count as texts of their own, so both lose what they share. Overlaps within a text count. Columns of docs that have
     the new names are replaced; others stay. docs must give the same rows in the same partitions whenever it is read,
-    as tables do. length is 8 + 4 * 64 bytes at least.
+    as tables do. length is 8 + 4 * 64 bytes at least. A very long text is a block of its own; an empty table stays
+    empty. There is a bucket for bucket_bytes of text, so that the ranks in one stay as many however large docs is: a
+    block sends about half a byte of ranks for each byte of text.
     """
     if length < GRAM + 4 * WINDOW:
         raise ValueError(f"length must be {GRAM + 4 * WINDOW} or more")
@@ -208,12 +234,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = Non
     new = ("n_bytes", "n_removed", "n_spans", "kept", "_text")
     cols = [c for c in docs.columns if c.lower() not in new]
     plain = docs.select(*(F.col(f"`{c}`") for c in cols), F.col("text").cast("string").cast("binary").alias("_text"))
-    n = buckets or 2 * shuffle_partitions(docs.sparkSession)
+    n = buckets or max(8, -(-(plain.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // bucket_bytes))
 
     def first_round(batches):
         for name, table in _blocks(batches, block_bytes):
             own = [_Text(t, length) for t in _texts(table.select(["_text"]))]
-            yield _rows(_send(name, np.concatenate([np.empty(0, U), *(r for t in own if len(t.p) for r in (t.half, t.whole))]), n))
+            yield _rows(_send(name, np.concatenate([NO_RANKS, *(r for t in own if len(t.p) for r in (t.half, t.whole))]), n))
+        _powers.cache_clear()
+        release()
 
     def payload(batches):
         for name, table in _blocks(batches, block_bytes):
@@ -222,14 +250,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = Non
                 w.write_table(table)
             yield _rows([(name, -1, zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes()))])
 
-    def opened(group: pa.Table):
-        """The block's table and texts, answers by bucket, and for each text what is covered, asked and shown."""
-        kinds, bodies = group["bucket"].to_pylist(), group["body"].to_pylist()
-        (body,) = [b for k, b in zip(kinds, bodies, strict=True) if k == -1]
-        table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
-        answers = {-2 - k: b for k, b in zip(kinds, bodies, strict=True) if -1_000_000 < k <= -2}
+    def opened(block: pa.Table, told: pa.Table):
+        """The block's table and texts, and for each text what is covered, asked and shown, as first-round answers have it."""
+        table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(block["body"][0].as_py())).read_all()
+        answers = {-2 - k: b for k, b in zip(told["bucket"].to_pylist(), told["body"].to_pylist(), strict=True) if k > -FINAL}
         own = [_Text(t, length) for t in _texts(table)]
-        ranks = np.concatenate([np.empty(0, U), *(r for t in own if len(t.p) for r in (t.half, t.whole))])
+        ranks = np.concatenate([NO_RANKS, *(r for t in own if len(t.p) for r in (t.half, t.whole))])
         rep, first = _read(ranks, answers, n)
         at, found = 0, []
         for t in own:
@@ -244,16 +270,17 @@ def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = Non
     def strings(own, found):
         return [np.concatenate([t.strings(e), t.strings(s)]) for t, (_, e, s) in zip(own, found, strict=True)]
 
-    def last_round(group: pa.Table) -> pa.Table:
-        _, own, found = opened(group)
-        return pa.Table.from_batches([_rows(_send(group["block"][0].as_py(), np.concatenate([np.empty(0, U), *strings(own, found)]), n))])
+    def last_round(block: pa.Table, told: pa.Table) -> pa.Table:
+        _, own, found = opened(block, told)
+        return pa.Table.from_batches([_rows(_send(block["block"][0].as_py(), np.concatenate([NO_RANKS, *strings(own, found)]), n))])
 
-    def judged(group: pa.Table) -> pa.Table:
-        table, own, found = opened(group)
+    def judged(block: pa.Table, told: pa.Table) -> pa.Table:
+        table, own, found = opened(block, told)
         ranks = strings(own, found)
-        kinds, bodies = group["bucket"].to_pylist(), group["body"].to_pylist()
-        answers = {-1_000_002 - k: b for k, b in zip(kinds, bodies, strict=True) if k <= -1_000_002}
-        rep, _ = _read(np.concatenate([np.empty(0, U), *ranks]), answers, n)
+        for t in own:  # no longer needed, and eight times the text
+            t.sum = t.down = None
+        answers = {-FINAL - 2 - k: b for k, b in zip(told["bucket"].to_pylist(), told["body"].to_pylist(), strict=True) if k <= -FINAL}
+        rep, _ = _read(np.concatenate([NO_RANKS, *ranks]), answers, n)
         removed, spans, kept = [], [], []
         for t, raw, (covered, ends, _), r in zip(own, _texts(table), found, _split(rep, [len(x) for x in ranks]), strict=True):
             edge = np.zeros(t.n + 1, np.int64)
@@ -264,6 +291,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = Non
             removed.append(int(gone.sum()))
             spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
             kept.append(np.frombuffer(raw, np.uint8)[~gone].tobytes() if removed[-1] else raw)
+        if max((t.n for t in own), default=0) > 1 << 20:  # powers for such a text take as much memory as the rest
+            _powers.cache_clear()
         out = table.drop_columns(["_text"])
         for name, values, kind in (("n_bytes", [t.n for t in own], pa.int64()), ("n_removed", removed, pa.int64()), ("n_spans", spans, pa.int64()), ("kept", kept, pa.binary())):
             out = out.append_column(name, pa.array(values, kind))
@@ -271,10 +300,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = Non
 
     schema = plain.drop("_text").withColumns({c: F.lit(0).cast("long") for c in new[:3]}).withColumn("kept", F.lit(None).cast("binary")).schema
     told = store(plain.mapInArrow(first_round, _ROW_SQL).groupBy("bucket").applyInArrow(_answer, _ROW_SQL), "ranks")
-    blocks = plain.mapInArrow(payload, _ROW_SQL)
-    ends = blocks.unionByName(told).groupBy("block").applyInArrow(last_round, _ROW_SQL).groupBy("bucket").applyInArrow(_answer, _ROW_SQL)
-    ends = ends.withColumn("bucket", F.col("bucket") - F.lit(1_000_000))
-    return blocks.unionByName(told).unionByName(ends).groupBy("block").applyInArrow(judged, schema)
+    blocks = plain.mapInArrow(payload, _ROW_SQL).groupBy("block")  # one exchange serves both rounds
+    asked = blocks.cogroup(told.groupBy("block")).applyInArrow(last_round, _ROW_SQL)
+    ends = asked.groupBy("bucket").applyInArrow(_answer, _ROW_SQL).withColumn("bucket", F.col("bucket") - F.lit(FINAL))
+    return blocks.cogroup(told.unionByName(ends).groupBy("block")).applyInArrow(judged, schema)
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
