@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import itertools
 import re
 import struct
 import zlib
@@ -45,7 +46,7 @@ def test_op1_as_tiktoken(spark, odd, none):
 def test_op2_rules_and_mining(spark):
     urls = ["HTTP://A.Example.COM/en/7x?q#f", "https://x.net/de/1", "https://m.example.net/de/80", "http://notnet/de/", "nothing", None, "", "ftp://org", "http://b.org/es/", "http://sub.com/EN/"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, rule int")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.RULES, spark.createDataFrame([], "antecedent array<string>")).collect()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.RULES, spark.createDataFrame([], "antecedent array<string>, key string")).collect()}
     assert got[0] == ("a.example.com", "/en/7x", "example.com/en/7", "allow")
     assert got[1][2:] == ("net/de/", "allow") and got[2][2:] == ("example.net/de/8", "block")
     assert got[3][2] is None and got[4] == got[5] == got[6] == ("", "", None, "allow")
@@ -53,9 +54,50 @@ def test_op2_rules_and_mining(spark):
     pages = spark.createDataFrame([(i, f"http://{'bad' if i % 3 == 0 else 'good'}.xyz/p/{i}") for i in range(300)], "page_id long, url string")
     labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(240)], "doc_id long, quality int")
     mined = url_filter.mine(pages, labels)
+    assert [(r.antecedent, r.key) for r in mined.collect()] == [(["host:bad"], "host:bad")]
     for most in (5000, 0):
         got = {r.page_id: r.verdict for r in url_filter.judge(pages, [], mined, most).collect()}
         assert all(v == ("block" if i % 3 == 0 else "allow") for i, v in got.items()) and len(got) == 300
+    odd = spark.createDataFrame([(1, None, "x"), (1, "http://bad.xyz/" + "a/" * 20_000, "y"), (1, "http://bad.xyz/" + "a/" * 20_000, "y"), (None, "", None)], "page_id long, url string, verdict string")
+    for most in (5000, 0):
+        assert sorted(r.verdict for r in url_filter.judge(odd, url_filter.RULES, mined, most).collect()) == ["allow", "allow", "block", "block"]
+        assert url_filter.judge(odd.filter("page_id = 9"), url_filter.RULES, mined, most).count() == 0
+    for no_labels in (labels.filter("doc_id = -1"), labels.filter("quality = 1"), labels.selectExpr("doc_id", "cast(null as int) as quality")):
+        assert url_filter.mine(pages, no_labels).count() == 0
+    assert url_filter.mine(odd.filter("page_id = 9"), labels).count() == 0
+
+
+def test_op2_as_brute_force(spark):
+    """All combinations of up to all tokens of each labelled url, counted; then every url against every minimal rule."""
+    sf = "/root/testdata/sf0.1"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    count, bad, n, all_bad = collections.Counter(), collections.Counter(), 0, 0
+    for r in url_filter.baskets_of(pages, labels).collect():
+        sets = [frozenset(c) for k in range(1, len(r["items"]) + 1) for c in itertools.combinations(r["items"], k)]
+        count.update(sets)
+        bad.update(sets if r["bad"] else [])
+        n, all_bad = n + 1, all_bad + r["bad"]
+    good = {s for s, k in bad.items() if k >= max(0.01 * n, 5) and k / count[s] >= 2 * all_bad / n}
+    minimal = {s for s in good if not any(frozenset(c) in good for k in range(1, len(s)) for c in itertools.combinations(s, k))}
+    mined = url_filter.mine(pages, labels)
+    assert {frozenset(r.antecedent) for r in mined.collect()} == minimal and minimal
+
+    def fits(rule, host, path):
+        h, slash, p = rule.partition("/")
+        return (host == h or host.endswith("." + h)) and path.startswith(slash + p)
+
+    tokens_of = {r.page_id: set(r.t or []) for r in pages.select("page_id", url_filter.url_tokens(pages.url).alias("t")).collect()}
+    for r, u in zip(*(sorted(x.collect(), key=lambda r: r.page_id) for x in (url_filter.op2_url_filter(spark, sf), pages)), strict=True):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u.url or "")
+        host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
+        best = max(((len(t), t, a) for t, a in url_filter.RULES if fits(t, host, path)), default=None)
+        want = best[2] if best else "block" if any(s <= tokens_of[u.page_id] for s in minimal) else "allow"
+        assert (r.page_id, r.host, r.path, r.rule, r.verdict) == (u.page_id, host, path, best and best[1], want)
+    many = [(f"h{i}.example.com/x", "block") for i in range(50)] + url_filter.RULES
+    none = mined.limit(0)
+    joined, looked = (sorted(map(tuple, url_filter.judge(pages, many, none, most).collect()), key=repr) for most in (3, 5000))
+    assert joined == looked
 
 
 def test_op3_brute_force(spark, odd, none):
