@@ -2,8 +2,8 @@
 
 Each table turns unit vectors by random orthonormal directions into eight dimensions and finds the nearest point of
 the E8 lattice, a vector's home cell. Vectors also show up in the neighbouring cells nearest to them. Within a cell,
-whoever is at home meets everyone; cosines in double precision decide. Cells are cut into tiles, so that a cell with a
-third of all vectors is many small tasks, and a pair is counted in one canonical cell however often it meets.
+whoever is at home meets everyone; cosines in double precision decide. Cells are cut into tiles, whose pairs are joined by
+cell and slot, so that a cell with a third of all vectors is many keys, and a pair is counted in one canonical cell however often it meets.
 """
 
 from __future__ import annotations
@@ -141,32 +141,37 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, tables: int = TABLE
     n_links counts the other rows found at cosine least or more; component_id is the smallest vec_id reachable, itself
     included; kept marks the row that names its component. Rows whose vector is null, empty, zero or holds null or
     non-finite components, and rows without vec_id, link with nothing. Equal vectors stand for one node that counts
-    them all. Vectors of different lengths never link. Links below least are never given; of the others, recall is
+    them all; of rows that repeat a vec_id each counts. An empty table gives an empty result, other columns are not read.
+    Vectors of different lengths never link. Links below least are never given; of the others, recall is
     measured against brute force in the tests.
     """
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     fine = F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     v = v.withColumn("ok", F.coalesce(fine, F.lit(False)))
-    classes = store(v.filter("ok").groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("mult")), "vectors")
+    classes = v.filter("ok").groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("mult"))
+    classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")  # vec_ids may repeat
     dealt = store(classes.select("node", "mult", "v").mapInPandas(_deal(tables, probes, scale, kind), "node long, mult long, body binary, at array<long>"), "dealt")
     seen = dealt.select("node", "mult", "body", F.posexplode("at").alias("i", "cell")).withColumn("home", F.col("i") % (1 + probes) == 0).drop("i")
     counts = dealt.select(F.explode("at").alias("cell")).groupBy("cell").agg(F.expr(f"int(ceil(count(*) / {tile}))").alias("slots")).filter("slots > 1")
     seen = seen.join(counts, "cell", "left").withColumn("slot", F.expr("int(pmod(xxhash64(node), coalesce(slots, 1)))"))
     row = F.struct("node", "mult", "body")
-    tiles = seen.groupBy("cell", "slot").agg(F.collect_list(row).alias("all"), F.expr("bool_or(home)").alias("home")).filter(F.size("all") > 0)
+    tiles = seen.groupBy("cell", "slot").agg(F.collect_list(row).alias("all"), F.expr("bool_or(home)").alias("home"), F.expr("max(coalesce(slots, 1))").alias("slots"))
     tiles = store(tiles, "cells")
-    a, b = tiles.select("cell", F.col("slot").alias("s1"), F.col("home").alias("h1"), F.col("all").alias("one")), tiles.select("cell", F.col("slot").alias("s2"), F.col("home").alias("h2"), F.col("all").alias("two"))
-    pairs = a.join(b, "cell").filter("s1 <= s2 and (h1 or h2) and (s1 < s2 or size(one) > 1)").select("cell", F.expr("s1 = s2").alias("same"), "one", "two")
+    a = tiles.select("cell", F.col("slot").alias("s1"), F.col("home").alias("h1"), F.col("all").alias("one"), F.explode(F.expr("sequence(slot, slots - 1)")).alias("slot"))  # a row a pair of tiles
+    b = tiles.select("cell", "slot", F.col("home").alias("h2"), F.col("all").alias("two"))
+    pairs = a.join(b, ["cell", "slot"]).filter("(h1 or h2) and (s1 < slot or size(one) > 1)").select("cell", F.expr("s1 = slot").alias("same"), "one", "two")
     found = store(pairs.mapInPandas(_meet(least, tables, probes, scale, kind), "a long, b long, n long"), "links")
     linked = found.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     comp = components(found.filter("a <> b"))
-    told = classes.join(linked, "node", "left").join(comp, "node", "left")
-    told = told.select("v", (F.coalesce("others", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    told = classes.join(linked, "node", "left").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    name = told.groupBy("component").agg(F.min("least").alias("component_id"))
+    told = told.join(name, "component").select("v", (F.coalesce("others", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
     good = v.filter("ok").join(told, "v").select("vec_id", "n_links", "component_id")
     rest = v.filter("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
 def op8_embedding_dedup(spark, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at cosine 0.95."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
