@@ -3,6 +3,7 @@
 Distinct fingerprints are dealt into tiles by the population counts of their four 16-bit quarters. Two
 fingerprints within the radius have quarter counts whose absolute differences add up to the radius at most, so
 only tile pairs within that distance meet; their fingerprints are compared by exclusive-or and bit counts in numpy.
+Tile pairs are joined by cell and slot, so that a cell with a third of all fingerprints is as many keys as it has tiles.
 """
 
 from __future__ import annotations
@@ -84,13 +85,14 @@ def link(fps: DataFrame, radius: int = 3, tile: int = 2048) -> DataFrame:
     key = " + ".join(f"({radius} + bit_count(shiftrightunsigned(fp, {16 * i}) & 65535)) * {64**i}L" for i in range(4))
     cells = fps.select("fp").distinct().withColumn("cell", F.expr(key))
     # at most 17 to the fourth cells, whatever the input: 83,521 counts
-    slots = cells.groupBy("cell").agg(F.expr(f"int(ceil(count(*) / {tile}))").alias("slots"))
+    slots = store(cells.groupBy("cell").agg(F.expr(f"int(ceil(count(*) / {tile}))").alias("slots")), "slots")
     tiles = cells.join(F.broadcast(slots), "cell").withColumn("slot", F.expr("int(pmod(xxhash64(fp), slots))"))
     tiles = store(tiles.groupBy("cell", "slot").agg(F.collect_list("fp").alias("fps")), "tiles")
     ask = tiles.select(F.col("cell").alias("from"), F.col("slot").alias("own"), F.explode(F.array([F.lit(x).cast("long") for x in _offsets(radius)])).alias("by"), F.col("fps").alias("one"))
-    ask = ask.withColumn("cell", F.expr("`from` + by"))
-    pairs = ask.join(tiles.withColumnRenamed("fps", "two"), "cell").filter("by > 0 or own <= slot").select(F.expr("by = 0 and own = slot").alias("same"), "one", "two")
-    return pairs.mapInPandas(_compare(radius), LINKS)
+    ask = ask.withColumn("cell", F.expr("`from` + by")).join(F.broadcast(slots), "cell")
+    ask = ask.select("cell", F.explode(F.expr("sequence(if(by = 0, own, 0), slots - 1)")).alias("slot"), "own", "by", "one")  # a row a pair of tiles
+    pairs = ask.join(tiles.withColumnRenamed("fps", "two"), ["cell", "slot"])
+    return pairs.select(F.expr("by = 0 and own = slot").alias("same"), "one", "two").mapInPandas(_compare(radius), LINKS)
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
@@ -111,5 +113,6 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3, seed: int =
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the groups that three bits link."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.expr("lpad(lower(hex(fp)), 16, '0')").alias("fingerprint"), "component_id")
