@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import release
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
 _ROW = "block string, bucket int, body binary"
@@ -105,15 +105,17 @@ def _blocks(frames: Iterator[pd.DataFrame], pattern: str, block_chars: int):
         yield block()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = 3_000_000, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = 3_000_000, buckets: int | None = None, bucket_chars: int = 8_000_000) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit, one after another) of each row of docs(doc_id, text).
 
     A null or empty text has no ids. Rows stay as they are: repeated ids, null ids and repeated texts each give
     a row. docs must give the same rows in the same partitions when it is read twice, as tables do. Words that
-    more than one block uses are encoded once. A block of texts closes at block_chars; one longer text is a block.
+    more than one block uses are encoded once. A block of texts closes at block_chars; one longer text is a block. There
+    is a bucket for bucket_chars of text, so that the words in one stay as many however large docs is. An empty table
+    gives an empty result; columns but doc_id and text are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = buckets or 2 * shuffle_partitions(docs.sparkSession)
+    n = buckets or max(8, -(-(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // bucket_chars))
 
     def out_words(frames):
         for name, _, _, _, words in _blocks(frames, pattern, block_chars):
@@ -127,12 +129,14 @@ def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = 3_000_00
                 texts = [raw[i] for i in own]
                 rows.append((name, int(b), _pack(own.astype(np.uint32), np.fromiter(map(len, texts), np.uint32, len(texts)), np.frombuffer(b"".join(texts), np.uint8))))
             yield pd.DataFrame(rows, columns=["block", "bucket", "body"])
+        release()
 
     def out_positions(frames):
         for name, ids, counts, numbers, words in _blocks(frames, pattern, block_chars):
             null = np.array([i is None for i in ids], np.uint8)
             body = _pack(np.array([i or 0 for i in ids], np.int64), null, counts, numbers, np.array([len(words)], np.int64))
             yield pd.DataFrame({"block": [name], "bucket": [-1], "body": [body]})
+        release()
 
     def encode_bucket(group: pd.DataFrame) -> pd.DataFrame:
         enc, known, rows = _encoding(path, pattern), {}, []
@@ -187,6 +191,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", to: str = "decoded")
 
 
 def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:
+    """Ids of all documents and the bytes that they decode to, as counts and digests."""
     import public_tokenizers as P
 
     path = P.path("byte_bpe_50k.tiktoken")
