@@ -77,13 +77,14 @@ def _mixed(band: int):
 def scan(docs: DataFrame, given: list[tuple[str, str]] = TEMPLATES, most: int = 2000) -> DataFrame:
     """doc_id, license, containment: templates of which LEAST of the distinct shingles or more stand in one window.
 
-    given: (license, text), at most `most`. Shingles are SHINGLE words, or the whole template where that is shorter.
+    given: (license, text); each scan of docs takes `most` of them, so that the plan stays bounded. Shingles are SHINGLE words, or the whole template where that is shorter.
     containment is the best window's share, rounded to four digits. One row for each doc_id and license, whatever the
     number of copies in the text and of rows with that doc_id; null ids count as one id. Texts that are null, empty
-    or hold no template have no row.
+    or hold no template have no row; an empty table gives none. Very long texts are read whole; columns but doc_id and
+    text are not read.
     """
     if len(given) > most:
-        raise ValueError(f"{len(given)} templates; at most {most}")
+        return scan(docs, given[:most], most).unionByName(scan(docs, given[most:], most))
     t = templates_of(docs.sparkSession, given)
     # at most BANDS entries a template, so their number is bounded by `most`
     known = t.select("license", "size", "m", "texts", F.posexplode("least").alias("band", "l")).select("license", "size", "m", "texts", "band", "l.v", "l.x").collect()
@@ -112,6 +113,7 @@ def scan(docs: DataFrame, given: list[tuple[str, str]] = TEMPLATES, most: int =
 
 
 def op10_license_scan(spark, sf_dir: str) -> DataFrame:
+    """Licenses in all documents."""
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
