@@ -116,12 +116,17 @@ def pieces_of(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2
 
 
 def pack_texts(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2048, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
-    """pieces_of with the sequence_id and offset of each piece."""
+    """pieces_of with the sequence_id and offset of each piece; columns but doc_id and text are not read.
+
+    Repeated rows, null ids and null texts each give pieces of their own; very long texts give as many as they need; an
+    empty table gives an empty result.
+    """
     pieces = store(pieces_of(docs, path, kind, capacity, end_id, keep_ids), "pieces")
     return pieces.join(pack(pieces.select("uid", "length"), capacity), "uid").drop("uid", *([] if keep_ids else ["ids"]))
 
 
 def op5_best_fit(spark, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
     import public_tokenizers as P
 
     return pack_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), P.path("word_bpe_49k.json"))

@@ -164,7 +164,8 @@ def judge(docs: DataFrame, model: dict | None, least_words: int = 20, most_repea
 
     base_failed: fewer than least_words words, or over most_repeated percent of them in repeated windows. kept: not
     base_failed and scored at least_score or more; without a model the score is 1. Null and empty texts have no words
-    and fail. The new columns replace input columns of the same names.
+    and fail. The new columns replace input columns of the same names. Very long texts are counted whole, repeated rows
+    are judged alike and all stay, an empty table stays empty.
     """
     kind = "struct<" + ", ".join(f"{c}: long" for c in COUNTS) + ", quality_score: double>"
 
@@ -185,6 +186,7 @@ def judge(docs: DataFrame, model: dict | None, least_words: int = 20, most_repea
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents, with a model of their quality labels."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return judge(docs, fit(docs, labels)).select("doc_id", *COUNTS, "base_failed", "kept")

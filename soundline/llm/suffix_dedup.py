@@ -307,5 +307,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, buckets: int | None = Non
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    """What stays of all documents without the strings of 400 bytes that they repeat."""
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 from compare import of_spark, of_sql
+from pyspark.sql import functions as F
 
 from soundline.llm import byte_bpe, common, embedding_dedup, license_scan, packing, quality, simhash, suffix_dedup, token_files, tokens, toxicity, url_filter
 
@@ -142,6 +143,21 @@ def test_op3_links_across_cells(spark):
     assert want | {(r, r) for _, r in want} == got
 
 
+def test_op3_hot_cell_is_many_keys(spark):
+    """A third of all fingerprints in one cell: its tile pairs are as many join keys as there are pairs."""
+    rng = np.random.default_rng(4)
+    few = np.array([sum(1 << (16 * q + int(rng.integers(16))) for q in range(4)) for _ in range(4000)], np.uint64)
+    fps = np.unique(np.concatenate([few, rng.integers(0, 2**63, 2 * len(np.unique(few)), dtype=np.uint64)]))
+    linked = simhash.link(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long"), radius=2, tile=128)
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, \(?\(cell#\d+L? = cell#\d+L?\) AND \(slot#\d+ = slot#\d+\)", plan)
+    got = {(r.node, r.component) for r in common.components(linked).collect()}
+    a, b = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2)
+    nodes, roots = common.forest(fps.view(np.int64)[a], fps.view(np.int64)[b])
+    want = set(zip(nodes.tolist(), roots.tolist(), strict=True))
+    assert want | {(r, r) for _, r in want} == got
+
+
 def test_op4_coder_and_files(spark, odd, none):
     rng = np.random.default_rng(0)
     x = rng.zipf(1.2, (200, 70)).clip(0, 65535).astype(np.uint32)
@@ -188,6 +204,18 @@ def test_chunks_as_whole_texts(name, kind):
         assert [x.tolist() for x in c.encode(odd)] == [c.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_op5_as_tokenizers(spark):
+    """Ids, pieces, starts, lengths and checksums of the query against the library on whole texts."""
+    tok = tokens.Chunked(P.path("word_bpe_49k.json"), "words").tokenizer
+    want = {}
+    for i, t in texts(spark):
+        ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        for k in range(-(-len(ids) // 2048)):
+            part = ids[2048 * k : 2048 * (k + 1)]
+            want[i, k] = (2048 * k, len(part), zlib.crc32(part.tobytes()))
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packing.op5_best_fit(spark, SF).collect()} == want
+
+
 def test_op5_sequences(spark, odd, none):
     for rows, n in ((packing.op5_best_fit(spark, SF).collect(), None), (packing.pack_texts(odd, P.path("word_bpe_49k.json")).collect(), len(ODD))):
         by = collections.defaultdict(list)
@@ -222,7 +250,19 @@ def test_op6_counts_and_constraints(spark, odd, none):
     rows = quality.judge(odd, None).collect()
     assert [r.kept for r in rows if r.doc_id in (2, 3, 6)] == [False] * 3 and len(rows) == len(ODD)
     assert quality.judge(none, None).count() == 0
-    kept = {r.doc_id: r.kept for r in quality.op6_quality(spark, SF).collect()}
+    labels, model = spark.read.parquet(f"{SF}/labels.parquet"), None
+    for some in (labels.limit(0), labels.filter("quality = 1"), labels.selectExpr("doc_id", "cast(null as int) as quality")):
+        assert quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), some) is None
+    twice = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels.union(labels))
+    assert twice is not None
+    model = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels)
+    rows, counts = quality.op6_quality(spark, SF).collect(), {i: quality.statistics(t) for i, t in texts(spark)}
+    p = dict(zip(counts, quality.predict(model, np.array([x for _, x in counts.values()])), strict=True))
+    for r in rows:
+        n, again = counts[r.doc_id][0][0], counts[r.doc_id][0][4]
+        assert [r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words] == counts[r.doc_id][0]
+        assert r.base_failed == (n < 20 or 100 * again > 30 * n) and r.kept == (not r.base_failed and p[r.doc_id] >= 0.5)
+    kept = {r.doc_id: r.kept for r in rows}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     assert sum(kept[i] for i, q in labels.items() if q == 0) <= 0.2 * sum(q == 0 for q in labels.values())
 
@@ -269,6 +309,27 @@ def test_op8_recall(spark):
     assert embedding_dedup.near_duplicates(df.filter("vec_id = -1")).count() == 0
 
 
+def test_op8_query_as_brute_force(spark, tmp_path):
+    """A hot group, repeated vec_ids, ties and single links: every column against all pairs; found links are all true."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((200, 64))
+    hot = base[0] + rng.standard_normal((150, 64)) * 0.02
+    x = np.concatenate([base, hot, base[1:60] + rng.standard_normal((59, 64)) * 0.1, base[5:20]]).astype(np.float32)
+    ids = [*range(len(x) - 2), 3, 3]
+    spark.createDataFrame([(i, [float(v) for v in u], 0) for i, u in zip(ids, x, strict=True)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    near = (u @ u.T) >= 0.95
+    label = np.array(ids)
+    for _ in range(20):
+        label = np.array([label[row].min() for row in near])
+    want = collections.Counter((i, int(n) - 1, int(c), i == c) for i, n, c in zip(ids, near.sum(1), label, strict=True))
+    got = collections.Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.op8_embedding_dedup(spark, str(tmp_path)).collect())
+    assert sum((got & want).values()) >= 0.97 * len(x) and sum(n * k[1] for k, n in got.items()) <= sum(n * k[1] for k, n in want.items())
+    small = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
+    tiled = collections.Counter(tuple(r) for r in embedding_dedup.near_duplicates(small, tile=8).collect())
+    assert tiled == collections.Counter(tuple(r) for r in embedding_dedup.near_duplicates(small).collect())
+
+
 def test_op9_held_out(spark, odd, none):
     """Better than the base rate on rows whose labels are never read by fit; the settings come from cross-validation within the others."""
     sf = "/root/testdata/sf0.1"
@@ -309,6 +370,9 @@ def test_op10_as_sql(spark, odd, none):
     more = spark.createDataFrame([(1, "Now RELEASED under   the MIT-license!"), (2, "released under the mit"), (3, license_scan.TEMPLATES[6][1].replace("binary", "object"))], "doc_id long, text string")
     assert {(r.doc_id, r.license) for r in license_scan.scan(more).collect()} == {(1, "mit-line")}
     assert license_scan.scan(odd).count() == license_scan.scan(none).count() == 0
+    assert {tuple(r) for r in license_scan.scan(more, most=3).collect()} == {tuple(r) for r in license_scan.scan(more).collect()}
+    again = more.union(more).withColumn("license", F.lit("x")).withColumn("doc_id", F.when(F.col("doc_id") == 2, None).otherwise(F.col("doc_id")))
+    assert {(r.doc_id, r.license) for r in license_scan.scan(again).collect()} == {(1, "mit-line")} and license_scan.scan(again).count() == 1
 
 
 def test_pipeline(spark):
