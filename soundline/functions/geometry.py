@@ -12,6 +12,10 @@ def mercator(lon: Column, lat: Column) -> Column:
     return F.struct((F.radians(lon) * MERCATOR_M).alias("x"), (F.log(F.tan(F.radians(lat) / 2 + 0.7853981633974483)) * MERCATOR_M).alias("y"))
 
 
+def from_mercator(x: Column, y: Column) -> Column:
+    return F.struct(F.degrees(x / MERCATOR_M).alias("lon"), F.degrees(F.atan(F.exp(y / MERCATOR_M)) * 2 - 1.5707963267948966).alias("lat"))
+
+
 def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return F.asin(F.sqrt(a)) * (2 * EARTH_M)

@@ -48,3 +48,19 @@ def lock_gates(segments: DataFrame, locks: DataFrame, key: str = "lock_id", line
     pairs = one.join(two, [key, "line"]).filter("(ax, ay) < (bx, by)").withColumn("span", F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))
     w = Window.partitionBy(key, "line").orderBy(F.desc(F.round("span", 4)), "ax", "ay", "bx", "by")
     return pairs.withColumn("rank", F.row_number().over(w)).filter("rank = 1").drop("rank")
+
+
+def quadrant_links(crossings: DataFrame, nodes: DataFrame, land: DataFrame, reach: int) -> DataFrame:
+    """(k, quadrant, near, d2): for each of crossings(k, x, y) the nearest of nodes in each quadrant of the box of half
+    width reach around it, among those whose link meets no land."""
+    from .hazards import meeting
+    from .spatial import box_join
+
+    pairs = box_join(crossings, nodes, margin=reach, left_box=("x", "y", "x", "y"), right_box=("x", "y", "x", "y"))
+    dx, dy = F.col("r.x") - F.col("l.x"), F.col("r.y") - F.col("l.y")
+    quadrant = F.when(dx >= 0, F.when(dy >= 0, 0).otherwise(3)).otherwise(F.when(dy >= 0, 1).otherwise(2))
+    e = pairs.select(F.col("l.k").alias("u"), F.col("r.k").alias("v"), F.col("l.x").alias("x1"), F.col("l.y").alias("y1"), F.col("r.x").alias("x2"), F.col("r.y").alias("y2"), (dx * dx + dy * dy).alias("d2"), quadrant.alias("quadrant"))
+    e = e.withColumns({"minx": F.least("x1", "x2"), "miny": F.least("y1", "y2"), "maxx": F.greatest("x1", "x2"), "maxy": F.greatest("y1", "y2")})
+    free = e.join(meeting(e, land).select("l.u", "l.v").distinct(), ["u", "v"], "left_anti")
+    best = free.groupBy("u", "quadrant").agg(F.min(F.struct("d2", "v")).alias("b"))
+    return best.select(F.col("u").alias("k"), "quadrant", F.col("b.v").alias("near"), F.col("b.d2").alias("d2"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.attributes import NO_DEPTH, UNKNOWN_DEPTH
 from ..functions.geometry import strictly_inside
+from . import shapes
 from .spatial import box_join
 
 FAST_DEPTH, COARSE_DEPTH, DRYING_LIMIT = 5.0, 10.0, -20.0
@@ -17,6 +18,13 @@ def charted(d1, d2):
     return F.when((d1 < DRYING_LIMIT) & (d2 >= DRYING_LIMIT), d2).otherwise(d1)
 
 
+def _around(x: str, y: str, bands: DataFrame):
+    """Whether a point of the left side lies strictly inside a band: its polygon where there are rings, else its box."""
+    if "rings" in bands.columns:
+        return shapes.inside(F.col("r.rings"), F.col(f"l.{x}"), F.col(f"l.{y}"))
+    return strictly_inside(F.col(f"l.{x}"), F.col(f"l.{y}"), F.col("r.minx"), F.col("r.miny"), F.col("r.maxx"), F.col("r.maxy"))
+
+
 def with_ends(edges: DataFrame, nodes: DataFrame, x: str = "lon_e5", y: str = "lat_e5") -> DataFrame:
     """edges(u, v) with both ends' places and the box around them."""
     a = nodes.select(F.col("k").alias("u"), F.col(x).alias("x1"), F.col(y).alias("y1"))
@@ -42,9 +50,9 @@ def edge_min_depth(ends: DataFrame, bands: DataFrame) -> DataFrame:
     at = F.expr("explode(sequence(0, 4))").alias("f")
     samples = slow.select("u", "v", at, "x1", "y1", "x2", "y2").select("u", "v", "f", (F.col("x1") * (4 - F.col("f")) + F.col("x2") * F.col("f")).alias("px"), (F.col("y1") * (4 - F.col("f")) + F.col("y2") * F.col("f")).alias("py"))
     box = ("px", "py", "px", "py")
-    grown = bands.select("drval1", "drval2", *((4 * F.col(c)).alias(c) for c in ("minx", "miny", "maxx", "maxy")))
-    inside = strictly_inside(F.col("l.px"), F.col("l.py"), F.col("r.minx"), F.col("r.miny"), F.col("r.maxx"), F.col("r.maxy"))
-    hits = box_join(samples, grown.filter("drval1 is not null"), inside, size=8000, left_box=box)
+    rings = [shapes.scaled(F.col("rings"), 4).alias("rings")] if "rings" in bands.columns else []
+    grown = bands.select("drval1", "drval2", *((4 * F.col(c)).alias(c) for c in ("minx", "miny", "maxx", "maxy")), *rings)
+    hits = box_join(samples, grown.filter("drval1 is not null"), _around("px", "py", grown), size=8000, left_box=box)
     best = hits.groupBy("l.u", "l.v", "l.f").agg(F.max(F.struct(F.col("r.drval1").alias("d1"), F.coalesce("r.drval2", F.lit(-1e9)).alias("d2"))).alias("b"))
     per = samples.join(best, ["u", "v", "f"], "left").select("u", "v", F.coalesce(charted(F.col("b.d1"), F.col("b.d2")), F.lit(NO_DEPTH)).alias("d"), F.col("b.d1").alias("d1"), F.col("b.d2").alias("d2"))
     least = per.groupBy("u", "v").agg(
@@ -58,7 +66,6 @@ def edge_min_depth(ends: DataFrame, bands: DataFrame) -> DataFrame:
 
 def node_depth(nodes: DataFrame, bands: DataFrame, x: str = "lon_e5", y: str = "lat_e5") -> DataFrame:
     """k, node_depth: the deepest band around the node; no band: unknown; only bands without a depth: 99."""
-    inside = strictly_inside(F.col(f"l.{x}"), F.col(f"l.{y}"), F.col("r.minx"), F.col("r.miny"), F.col("r.maxx"), F.col("r.maxy"))
-    hits = box_join(nodes, bands, inside, left_box=(x, y, x, y))
+    hits = box_join(nodes, bands, _around(x, y, bands), left_box=(x, y, x, y))
     best = hits.groupBy(F.col("l.k").alias("k")).agg(F.max(F.when(F.col("r.drval1").isNotNull(), F.struct(F.col("r.drval1").alias("d1"), F.coalesce("r.drval2", F.lit(-1e9)).alias("d2")))).alias("b"), F.lit(True).alias("any"))
     return nodes.join(best, "k", "left").select("k", F.when(F.col("any").isNull(), UNKNOWN_DEPTH).otherwise(F.coalesce(charted(F.col("b.d1"), F.col("b.d2")), F.lit(NO_DEPTH))).alias("node_depth"))

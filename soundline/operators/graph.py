@@ -39,17 +39,23 @@ def resample(steps: DataFrame, limit: float, chain: str = "chain_id", seq: str =
     return rows.select(chain, F.explode(F.arrays_zip(F.col("s"), walk.alias("segment"))).alias("z")).select(chain, F.col(f"z.s.{seq}").alias(seq), F.col("z.segment").alias("segment"))
 
 
-def thin(hits: DataFrame, gap: float, line: str = "line_id", at: str = "at") -> DataFrame:
-    """Along each line keeps a hit if it lies gap or more behind the last one kept."""
-    rows = hits.groupBy(line).agg(F.array_sort(F.collect_list(F.col(at).cast("double"))).alias("s"))
-    kept = F.aggregate("s", F.expr("cast(array() as array<double>)"), lambda a, x: F.when((F.size(a) == 0) | (x - F.element_at(a, -1) >= gap), F.array_append(a, x)).otherwise(a))
-    return rows.select(line, F.explode(kept).alias(at))
+def thin(hits: DataFrame, gap: float, line: str = "line_id", at: str = "at", x: str = "x", y: str = "y") -> DataFrame:
+    """Along each line, in the order of at, keeps a hit if it lies gap or more from every hit kept before."""
+    rows = hits.groupBy(line).agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))).alias("s"))
+    far = lambda p: lambda q: (p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"]) >= gap * gap
+    kept = F.aggregate("s", F.slice("s", 1, 0), lambda a, p: F.when(F.forall(a, far(p)), F.array_append(a, p)).otherwise(a))
+    return rows.select(line, F.explode(kept).alias("p")).select(line, F.col("p.at").alias(at))
 
 
 def first_n(df: DataFrame, n: int, group: str, *order) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("rn") <= n).drop("rn")
 
 
+def numbered(df: DataFrame, order: str, to: str) -> DataFrame:
+    """df with numbers from 1 in the order of a column of distinct values; meant for catalogs, which are small."""
+    return df.withColumn(to, F.row_number().over(Window.orderBy(order)).cast("long"))
+
+
 def systematic_sample(df: DataFrame, most: int, group: str, order: str) -> DataFrame:
     """Every step-th row of each group, most rows over all groups."""
     w = Window.partitionBy(group)

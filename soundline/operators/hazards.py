@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions import attributes as A
 from ..functions.geometry import point_segment_t, segment_meets_rectangle
+from . import shapes
 from .spatial import box_join
 
 
 def meeting(ends: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(l, r): edges and the rectangles they meet."""
-    return box_join(ends, boxes, segment_meets_rectangle(*(F.col(f"l.{c}") for c in ("x1", "y1", "x2", "y2")), *(F.col(f"r.{c}") for c in ("minx", "miny", "maxx", "maxy"))))
+    """(l, r): edges and the polygons that they meet, or rectangles where the right side has no rings."""
+    edge = [F.col(f"l.{c}") for c in ("x1", "y1", "x2", "y2")]
+    exact = shapes.meets_segment(F.col("r.rings"), *edge) if "rings" in boxes.columns else segment_meets_rectangle(*edge, *(F.col(f"r.{c}") for c in ("minx", "miny", "maxx", "maxy")))
+    return box_join(ends, boxes, exact)
 
 
 def _per_edge(ends: DataFrame, pairs: DataFrame, *aggs) -> DataFrame:

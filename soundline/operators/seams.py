@@ -17,9 +17,10 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFra
     return old.unionByName(first.join(old, key, "left_anti"), allowMissingColumns=True)
 
 
-def insert_replace(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFrame:
-    """As upsert, but columns that new lacks go back to null."""
-    return upsert(old, new, key, seq)
+def insert_replace(old: DataFrame, new: DataFrame, key: str, seq: str, defaults: dict | None = None) -> DataFrame:
+    """As upsert, but columns that new lacks go back to their defaults, or to null."""
+    lacking = {c: F.lit((defaults or {}).get(c)).cast(old.schema[c].dataType) for c in old.columns if c not in new.columns}
+    return upsert(old, new.withColumns(lacking), key, seq)
 
 
 def coverage(points: DataFrame, x: str, y: str) -> DataFrame:
@@ -42,6 +43,27 @@ def adopt(registry: DataFrame, native: DataFrame, box, unknown: float = -999.0)
     return own.join(native.select(F.col("k").alias("node_id")), "node_id", "left_anti").withColumn("node_depth", F.coalesce("node_depth", F.lit(unknown)))
 
 
+def connect(adopted: DataFrame, native: DataFrame, land: DataFrame, reach: int, most: int = 2) -> DataFrame:
+    """(node_id, near, d2, rank, reason) of each adopted(node_id, x, y): links to its nearest native(k, x, y) within reach
+    that cross no land, most at a node and never among adopted ones. Where there is none, a row with the reason alone.
+    """
+    from .hazards import meeting
+    from .spatial import radius_join
+
+    pairs = radius_join(adopted.select(F.col("node_id").alias("k"), "x", "y"), native, reach).filter("l.k <> r.k")
+    pairs = pairs.select(F.col("l.k").alias("u"), F.col("r.k").alias("v"), "d2", F.col("l.x").alias("x1"), F.col("l.y").alias("y1"), F.col("r.x").alias("x2"), F.col("r.y").alias("y2"))
+    pairs = pairs.withColumns({"minx": F.least("x1", "x2"), "miny": F.least("y1", "y2"), "maxx": F.greatest("x1", "x2"), "maxy": F.greatest("y1", "y2")})
+    blocked = meeting(pairs, land).select("l.u", "l.v").distinct().withColumn("blocked", F.lit(True))
+    asked = pairs.select("u", "v", "d2").join(blocked, ["u", "v"], "left").withColumn("blocked", F.coalesce("blocked", F.lit(False)))
+    rank = F.row_number().over(Window.partitionBy("u").orderBy("d2", "v"))
+    links = asked.filter("not blocked").withColumn("rank", rank).filter(F.col("rank") <= most)
+    links = links.select(F.col("u").alias("node_id"), F.col("v").alias("near"), "d2", "rank", F.lit("connected").alias("reason"))
+    near = asked.groupBy(F.col("u").alias("node_id")).agg(F.count("*").alias("n"))
+    rest = adopted.select("node_id").join(links, "node_id", "left_anti").join(near, "node_id", "left")
+    rest = rest.select("node_id", F.lit(None).cast("long").alias("near"), F.lit(None).cast("long").alias("d2"), F.lit(None).cast("int").alias("rank"), F.when(F.col("n").isNull(), "no node in reach").otherwise("land in between").alias("reason"))
+    return links.unionByName(rest)
+
+
 def publish(nodes: DataFrame, adopted: DataFrame, box, band: int, apart: int) -> DataFrame:
     """Coastal nodes in the band that lie further than apart from every adopted node."""
     from .spatial import radius_join
@@ -65,3 +87,8 @@ def snap_pois(pois: DataFrame, nodes: DataFrame, reach: int, snap_beyond: int, s
 
 def reject_reasons(df: DataFrame, reason: Column) -> DataFrame:
     return df.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+def poi_outcome(name: Column, kind: Column) -> Column:
+    """Why a point of interest is skipped, or "kept"."""
+    return F.when(F.coalesce(F.trim(name), F.lit("")) == "", "unnamed").when(kind.isNull(), "no geometry").when(~kind.isin("Point", "Polygon", "LineString"), "unsupported").otherwise("kept")

@@ -44,25 +44,29 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, x: str = "x",
     return l.join(r, ["cx", "cy"]).select("l", "r", (dx * dx + dy * dy).alias("d2")).filter(F.col("d2") <= radius * radius)
 
 
-def knn_join(left: DataFrame, right: DataFrame, k: int, key: str = "k", x: str = "x", y: str = "y", reach: float = 2000, most: float = 64_000, exclude: Column | None = None) -> DataFrame:
+def knn_join(left: DataFrame, right: DataFrame, k: int, key: str = "k", x: str = "x", y: str = "y", reach: float = 2000, exclude: Column | None = None) -> DataFrame:
     """(l, r, d2, rank): the k nearest of right for each of left, ties by right's key.
 
-    The reach doubles for those rows alone that haven't k within it; beyond `most` they keep what they have. A pair
-    found within the reach is exact, since every nearer point lies within it as well.
+    The reach doubles for those rows alone that haven't k within it, until it covers all of both sides; a row that still
+    has fewer has met all of right. A pair found within the reach is exact, since every nearer point lies within it too.
     """
+    from .components import written
+
     found, todo = None, left
+    ends = left.select(x, y).union(right.select(x, y)).agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    extent = 0 if ends[0] is None else ((ends[1] - ends[0]) ** 2 + (ends[3] - ends[2]) ** 2) ** 0.5
     while True:
         pairs = radius_join(todo, right, reach, x, y)
         if exclude is not None:
             pairs = pairs.filter(~exclude)
         w = Window.partitionBy(F.col(f"l.{key}")).orderBy("d2", F.col(f"r.{key}"))
-        top = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).persist()
-        if reach >= most:
+        top = written(pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+        if reach >= extent:
             return top if found is None else found.unionByName(top)
         have = top.groupBy(F.col(f"l.{key}").alias("_k")).agg(F.max("rank").alias("n")).filter(F.col("n") == k)
         done = top.join(have, F.col(f"l.{key}") == F.col("_k"), "left_semi")
         found = done if found is None else found.unionByName(done)
-        todo = todo.join(have, F.col(key) == F.col("_k"), "left_anti").persist()
+        todo = written(todo.join(have, F.col(key) == F.col("_k"), "left_anti"))
         if todo.isEmpty():
             return found
         reach *= 2

@@ -206,10 +206,14 @@ def resample_chain(spark, d):
     return graph.resample(e.select(F.col("user_id").alias("chain_id"), F.col("event_id").alias("seq"), (F.col("event_id") % 47).cast("double").alias("length")), 100)
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT user_id AS line_id, event_id AS hit, (event_id * 7919) % 301 AS x, (event_id * 104729) % 199 AS y, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+  w AS (SELECT line_id, hit, rn, TRUE AS kept, [struct_pack(x := x, y := y)] AS held FROM s WHERE rn = 1
+  UNION ALL SELECT s.line_id, s.hit, s.rn, len(list_filter(held, lambda h: (h.x-s.x)*(h.x-s.x) + (h.y-s.y)*(h.y-s.y) < 2500)) = 0,
+    CASE WHEN len(list_filter(held, lambda h: (h.x-s.x)*(h.x-s.x) + (h.y-s.y)*(h.y-s.y) < 2500)) = 0 THEN list_append(held, struct_pack(x := s.x, y := s.y)) ELSE held END FROM w JOIN s ON s.line_id = w.line_id AND s.rn = w.rn + 1)
+  SELECT line_id, hit FROM w WHERE kept""")
 def near_duplicate_suppression(spark, d):
     e = table(spark, d, "events")
-    return graph.thin(e.select(F.col("user_id").alias("line_id"), F.col("event_id").alias("at")), 50)
+    return graph.thin(e.select(F.col("user_id").alias("line_id"), F.col("event_id").alias("hit"), F.expr("(event_id * 7919) % 301").alias("x"), F.expr("(event_id * 104729) % 199").alias("y")), 50, at="hit")
 
 
 @query("SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn <= 8")
@@ -307,12 +311,12 @@ def _components(spark, d):
     return components.connected_components(layer(spark, d, "chart_edges"), layer(spark, d, "chart_nodes"))
 
 
-@query()
+@query(_CC + "SELECT k, component FROM comp")
 def connected_components(spark, d):
     return _components(spark, d)
 
 
-@query()
+@query(_CC + "SELECT component, count(*) AS n FROM comp GROUP BY component")
 def component_sizes(spark, d):
     return _components(spark, d).groupBy("component").agg(F.count("*").alias("n"))
 
@@ -328,7 +332,16 @@ def prune_spurs_round(spark, d):
     return graph.prune_spurs_once(layer(spark, d, "chart_edges").withColumn("length", F.expr("(u * 31 + v) % 100")), 60)
 
 
-@query()
+def _spur_rounds(n: int) -> str:
+    """SQL of n rounds; more change nothing once a round has changed nothing."""
+    out = ["e0 AS (SELECT u, v, (u * 31 + v) % 100 AS length FROM {chart_edges})"]
+    for i in range(n):
+        out.append(f"p{i} AS (SELECT DISTINCT least(u, v) AS a, greatest(u, v) AS b FROM e{i} WHERE u <> v), x{i} AS (SELECT k FROM (SELECT a AS k FROM p{i} UNION ALL SELECT b FROM p{i}) GROUP BY k HAVING count(*) = 1)")
+        out.append(f"e{i + 1} AS MATERIALIZED (SELECT * FROM e{i} WHERE NOT (length < 60 AND (u IN (SELECT k FROM x{i}) OR v IN (SELECT k FROM x{i}))))")
+    return f"WITH {', '.join(out)} SELECT u, v, length FROM e{n}"
+
+
+@query(_spur_rounds(16))
 def prune_spurs(spark, d):
     return graph.prune_spurs(layer(spark, d, "chart_edges").withColumn("length", F.expr("(u * 31 + v) % 100")), 60)
 
@@ -398,7 +411,11 @@ def coverage_bbox(spark, d):
     return seams.coverage(layer(spark, d, "chart_nodes"), "lon_e5", "lat_e5")
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT DISTINCT lon_e5 AS x, lat_e5 AS y FROM {chart_nodes}), f AS (SELECT min(struct_pack(x := x, y := y)) AS c FROM p),
+  h AS (SELECT c, c AS first_one, 0 AS n FROM f
+  UNION ALL SELECT (SELECT first(struct_pack(x := q.x, y := q.y) ORDER BY (q.x-h.c.x)**2 + (q.y-h.c.y)**2 DESC) FROM p q WHERE NOT (q.x = h.c.x AND q.y = h.c.y)
+    AND NOT EXISTS (SELECT 1 FROM p r WHERE (q.x - h.c.x) * (r.y - h.c.y) - (q.y - h.c.y) * (r.x - h.c.x) < 0)), first_one, n + 1 FROM h WHERE n = 0 OR c <> first_one)
+  SELECT DISTINCT c.x::DOUBLE AS x, c.y::DOUBLE AS y FROM h""")
 def convex_hull(spark, d):
     """Corners of all nodes' hull: hulls of partitions first, then the hull of their few corners."""
     def hull(frames):
@@ -407,7 +424,7 @@ def convex_hull(spark, d):
             pts = R.convex_hull(np.vstack([pts, f[["x", "y"]].to_numpy(float)]))
         yield pd.DataFrame(pts, columns=["x", "y"])
 
-    return points(spark, d).select("x", "y").mapInPandas(hull, "x double, y double").coalesce(1).mapInPandas(hull, "x double, y double")
+    return points(spark, d).select("x", "y").mapInPandas(hull, "x double, y double").repartition(1).mapInPandas(hull, "x double, y double")
 
 
 @query("SELECT n_name AS state FROM nation WHERE n_nationkey % 4 = 0")
@@ -555,3 +572,6 @@ def bridge_crossing_points(spark, d):
 def lock_gate_pairs(spark, d):
     out = crossings.lock_gates(ends(spark, d), layer(spark, d, "chart_locks"))
     return out.select("lock_id", "line", F.round("span", 2).alias("span"))
+
+
+from . import shape_queries as _shape_queries  # noqa: E402, F401  registers its queries
