@@ -11,6 +11,6 @@ def test_matches_sql(spark, name):
     assert of_spark(QUERIES[name](spark, SF)) == of_sql(ORACLE[name], SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
+def test_every_query_is_compared():
+    """Those without SQL have brute-force tests: test_stitch, test_skeleton, test_kernels."""
+    assert set(QUERIES) - set(ORACLE) == {"stitch_components", "capped_connectors", "skeleton_network", "navmesh_triangulate"}
