@@ -375,6 +375,89 @@ def test_op10_as_sql(spark, odd, none):
     assert {(r.doc_id, r.license) for r in license_scan.scan(again).collect()} == {(1, "mit-line")} and license_scan.scan(again).count() == 1
 
 
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """A small corpus with a planted case for every stage, and labels."""
+    rng = np.random.default_rng(8)
+    vocabulary = ["".join(rng.choice(list("abcdefghiklmnoprstuvw"), n)) for n in rng.integers(2, 9, 600)]
+    prose = lambda n: " ".join(rng.choice(vocabulary, n))
+    passage = prose(120)
+    rows = [(i, prose(60)) for i in range(120)]
+    rows += [(200 + i, f"{prose(25)} you worthless rotten scum {prose(10)} stupid vile toad {prose(15)}") for i in range(40)]
+    rows += [(300 + i, " ".join(["buy | now $$ ### !"] * 12)) for i in range(30)]
+    near = rows[7][1].split()
+    rows += [(400, rows[5][1]), (401, " ".join([*near[:58], "other"])), (402, " ".join(near[:30])), (403, f"{prose(40)} {passage} {prose(20)}"), (404, f"{passage} {prose(30)}"), (405, f"{prose(9)} {passage}")]
+    rows += [(500, None), (501, ""), (502, "   "), (503, "one two"), (None, prose(50)), (None, None), (3, rows[3][1]), (504, prose(9000))]
+    labels = [(i, int(not 300 <= i < 330), int(200 <= i < 240)) for i, _ in rows if i is not None and i < 400 and i % 4]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def _pairs(df):
+    return collections.Counter((r.doc_id, r.text) for r in df.collect())
+
+
+def test_pipeline_stage_by_stage(spark, corpus):
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{corpus}/labels.parquet").collect()}
+    told = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id in labels and r.text is not None)
+    model = toxicity.train([t for _, t in told], [labels[i].toxic for i, _ in told])
+    distance = toxicity.Distance(model["bodies"])
+    mild = common.store(C.drop_toxic(spark, docs, corpus), "stage")
+    own = _pairs(docs)
+    score = dict(zip(own, toxicity.probabilities([t for _, t in own], model, distance), strict=True))
+    assert _pairs(mild) == collections.Counter({k: n for k, n in own.items() if score[k] < 0.7}) and mild.columns == docs.columns
+    assert not any(200 <= (i or 0) < 240 for i, _ in _pairs(mild)) and sum(1 for i, _ in _pairs(mild) if i is not None and i < 120) == 120
+
+    good = common.store(C.keep_good(spark, mild, corpus), "stage")
+    counts = {k: quality.statistics(k[1]) for k in _pairs(mild)}
+    trees = quality.fit(mild, spark.read.parquet(f"{corpus}/labels.parquet"))
+    fine = lambda c, x: c[0] >= 20 and 100 * c[4] <= 30 * c[0] and quality.predict(trees, np.array([x]))[0] >= 0.5
+    assert _pairs(good) == collections.Counter({k: n for k, n in _pairs(mild).items() if fine(*counts[k])})
+    assert {i for i, _ in _pairs(good)} >= {5, 7, 400, 401, 402, 403, 404, 405, 504, None} and not {300, 500, 501, 502, 503} & {i for i, _ in _pairs(good)}
+
+    apart = common.store(C.drop_near_duplicates(spark, good, corpus), "stage")
+    kept = [r.doc_id for r in apart.collect()]
+    shingles = lambda t: {tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))}
+    rows = [(i, shingles(t)) for i, t in _pairs(good) if i is not None]
+    linked = {(a, b) for a, x in rows for b, y in rows if a < b and len(x & y) >= 0.8 * len(x | y)}
+    assert linked == {(5, 400), (7, 401)} and sorted(i for i in kept if i is not None) == sorted({i for i, _ in rows} - {b for _, b in linked}) and kept.count(None) == 1
+
+    single = common.store(C.drop_repeats(spark, apart, corpus), "stage")
+    texts_ = [t for _, t in _pairs(apart).elements()]
+    want = collections.Counter(h for _, _, _, h in _removed([t.encode() for t in texts_]))
+    assert collections.Counter(hashlib.sha256(r.text.encode()).hexdigest() for r in single.collect()) == want
+    assert all(r.n_chars == len(r.text) for r in single.collect()) and {r.doc_id for r in single.collect() if len(r.text) < 500} >= {403, 404, 405}
+
+    pieces = C.pack(spark, single, corpus).collect()
+    tok = tokens.Chunked(P.path("word_bpe_49k.json"), "words").tokenizer
+    size = {r.doc_id: len(tok.encode(r.text, add_special_tokens=False).ids) + 1 for r in single.collect()}
+    by: dict = {}
+    for r in pieces:
+        by.setdefault(r.doc_id, []).append(r)
+    assert {i: sum(r.length for r in rs) for i, rs in by.items()} == size and all(sorted(r.piece for r in rs) == list(range(-(-size[i] // 2048))) for i, rs in by.items())
+    assert collections.Counter((r.doc_id, r.piece, r.length) for r in C.run(spark, corpus).collect()) == collections.Counter((r.doc_id, r.piece, r.length) for r in pieces)
+
+
+def test_pipeline_odd_columns_and_empty_tables(spark, corpus):
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").filter("doc_id < 60 or doc_id is null or doc_id >= 200")
+    for c in ("_score", "score", "n", "_n", "kept", "n_words", "row", "component_id", "n_bytes", "quality_score", "_text", "a.b"):
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    for _, stage in C.STAGES[:-1]:
+        got = stage(spark, docs, corpus)
+        assert got.columns == docs.columns and got.count() > 0
+        assert all(r[c] == f"own {c}" for r in got.collect() for c in docs.columns[5:])
+    for _, stage in C.STAGES:
+        assert stage(spark, docs.limit(0), corpus).count() == 0
+    assert C.pack(spark, docs, corpus).count() >= docs.count()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
