@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .functions import attributes as A
 from .functions import geometry as G
 from .operators import crossings, depth, graph, hazards, seams, shapes, spatial
+from .plans import region
 from .queries import _E, _MEETS, _DEPTHS, BOX, ORACLE, ends, points, query
 from .sources.fixtures import layer, table
 
@@ -183,27 +184,30 @@ def region_sql() -> str:
       JOIN (SELECT c_custkey AS k, CASE WHEN c_nationkey % 5 = 0 THEN 'inland' ELSE 'coastal' END AS node_type FROM customer) p ON m.v = p.k"""
 
 
+def _layers(spark, d) -> dict:
+    names = {"nodes": "chart_nodes", "edges": "chart_edges", "depth_areas": "depth_bands", "bridges": "chart_bridges", "locks": "chart_locks", "fairways": "chart_fairways", "obstacles": "chart_obstructions", "land": "chart_land"}
+    return {k: layer(spark, d, n) for k, n in names.items()}
+
+
 @query()
 def region_edges(spark, d):
-    """One row an edge: all attributes by equi-joins on (u, v); crosses_land is 0 once crossing edges are stripped."""
-    e, b = ends(spark, d), layer(spark, d, "depth_bands")
-    boxes = hazards.obstacle_boxes(layer(spark, d, "chart_obstructions"), 150)
-    low = depth.edge_min_depth(e, b)
-    kind = layer(spark, d, "chart_nodes").select("k", "node_type")
-    both = e.join(kind.toDF("u", "a"), "u").join(kind.toDF("v", "b"), "v").select("u", "v", A.edge_type_id(F.when((F.col("a") == "inland") & (F.col("b") == "inland"), "inland").otherwise("coastal")).alias("edge_type_id"))
-    length = e.select("u", "v", F.round(G.haversine(*(F.col(c) / 100000.0 for c in ("x1", "y1", "x2", "y2"))), 2).alias("distance"))
-    out = length
-    for part in (
-        low.select("u", "v", "drval1"), hazards.soft_depth(e, low, boxes), hazards.air_draft(e, layer(spark, d, "chart_bridges")), hazards.lock_width(e, layer(spark, d, "chart_locks")),
-        hazards.fairway(e, layer(spark, d, "chart_fairways")), hazards.crosses_obstacle(e, boxes), hazards.distance_to_land(e, layer(spark, d, "chart_land")), both,
-    ):
-        out = out.join(part, ["u", "v"])
-    out = out.join(hazards.inside_locks(e, layer(spark, d, "chart_locks")), ["u", "v"], "left").withColumn("crosses_land", F.lit(0)).withColumn("buoyage_direction", A.buoyage_direction())
-    return out.select("u", "v", "distance", "min_depth", "drval1", "max_air_draft", "min_width", "cost_factor", "traffic_mode", "crosses_obstacle", "crosses_land", "distance_to_land", "lock_id", "edge_type_id", "buoyage_direction")
+    """One row an edge with all attributes of the published edge table."""
+    layers = _layers(spark, d)
+    return region.edge_table(layers["edges"], layers)
 
 
 ORACLE["region_edges"] = region_sql()
 
+_ID = "CASE WHEN node_type = 'inland' THEN 648000000000000 ELSE 0 END + CAST(floor((round(lat_e5/100000.0::DOUBLE, 5) + 90.0::DOUBLE)*100000) AS BIGINT)*36000000 + CAST(floor((round(lon_e5/100000.0::DOUBLE, 5) + 180.0::DOUBLE)*100000) AS BIGINT)"
+
+
+@query(f"""WITH i AS (SELECT k, {_ID} AS id, lat_e5/100000.0::DOUBLE AS lat, lon_e5/100000.0::DOUBLE AS lon FROM {{chart_nodes}})
+  SELECT i.k, id, lat, lon, d.node_depth, CAST(NULL AS BIGINT) AS region_id, 0 AS node_kind_id, 1 AS source_tier, CAST(NULL AS BIGINT) AS source_id FROM i JOIN ({RAW["node_depth"]}) d ON i.k = d.k""")
+def region_nodes(spark, d):
+    layers = _layers(spark, d)
+    return region.node_table(layers["nodes"], layers["depth_areas"])
+
+
 _NATIVE = "p AS (SELECT k, lon_e5 AS x, lat_e5 AS y FROM {chart_nodes} WHERE node_type = 'coastal')"
 
 
