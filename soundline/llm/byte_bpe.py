@@ -170,8 +170,9 @@ def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = 3_000_00
             "ids": [raw[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)],
         })
 
-    words = docs.mapInPandas(out_words, _ROW).groupBy("bucket").applyInPandas(encode_bucket, _ROW)
-    return docs.mapInPandas(out_positions, _ROW).unionByName(words).groupBy("block").applyInPandas(reassemble, ENCODED)
+    # partitions by their number, not by the session's setting: tasks stay as large however large docs is
+    words = docs.mapInPandas(out_words, _ROW).repartition(2 * n, "bucket").groupBy("bucket").applyInPandas(encode_bucket, _ROW)
+    return docs.mapInPandas(out_positions, _ROW).unionByName(words).repartition(2 * n, "block").groupBy("block").applyInPandas(reassemble, ENCODED)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
