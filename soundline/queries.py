@@ -285,7 +285,15 @@ def nearest_vectors(asked: DataFrame, rows: DataFrame, k: int, block: int = 512,
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("q", "near", "rank")
 
 
-@query()
+_CC = """WITH RECURSIVE s AS (SELECT u, v FROM {chart_edges} UNION ALL SELECT v, u FROM {chart_edges}), r AS (SELECT k, k AS c FROM {chart_nodes} UNION SELECT s.v, r.c FROM r JOIN s ON s.u = r.k AND r.c < s.v), comp AS (SELECT k, min(c) AS component FROM r GROUP BY k) """
+_WALK = """p AS (SELECT k, lon_e5 AS x, lat_e5 AS y, node_type FROM {chart_nodes}), near AS (SELECT a.k AS a, b.k AS b, a.node_type AS s, b.node_type AS t, (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y) AS d2 FROM p a JOIN p b ON a.k <> b.k AND abs(a.x-b.x) <= 1500 AND abs(a.y-b.y) <= 1500)"""
+
+
+@query("WITH RECURSIVE " + _WALK + """, x AS (SELECT DISTINCT least(u, v) AS u, greatest(u, v) AS v FROM {chart_edges} g JOIN p a ON u = a.k JOIN p b ON v = b.k WHERE a.node_type <> b.node_type),
+  c AS (SELECT a, b, d2, row_number() OVER (ORDER BY d2, a, b) AS rn FROM near WHERE s = 'inland' AND t = 'coastal' AND d2 <= 2250000 AND NOT EXISTS (SELECT 1 FROM x WHERE x.u = least(a, b) AND x.v = greatest(a, b))),
+  w AS (SELECT 0::BIGINT AS rn, FALSE AS taken, list(n ORDER BY k) AS used FROM (SELECT k, (SELECT count(*) FROM x WHERE x.u = p.k OR x.v = p.k) AS n FROM p)
+  UNION ALL SELECT c.rn, used[a + 1] < 2 AND used[b + 1] < 2, CASE WHEN used[a + 1] < 2 AND used[b + 1] < 2 THEN list_transform(used, lambda n, i: CASE WHEN i = a + 1 OR i = b + 1 THEN n + 1 ELSE n END) ELSE used END FROM w JOIN c ON c.rn = w.rn + 1)
+  SELECT a, b, d2 FROM w JOIN c ON w.rn = c.rn WHERE taken""")
 def capped_connectors(spark, d):
     """Links from inland to coastal nodes, nearest first, at most two a node with those that the chart has."""
     p, e = points(spark, d), layer(spark, d, "chart_edges")
@@ -296,7 +304,11 @@ def capped_connectors(spark, d):
     return graph.capped_connectors(pairs.select(F.col("l.k").alias("a"), F.col("r.k").alias("b"), "d2"), cross, 2)
 
 
-@query()
+@query(_CC.rstrip() + ", " + _WALK + """,
+  c AS (SELECT a, b, d2, row_number() OVER (ORDER BY d2, a, b) AS rn FROM near JOIN comp f ON a = f.k JOIN comp g ON b = g.k WHERE a < b AND d2 <= 2250000 AND f.component <> g.component),
+  w AS (SELECT 0::BIGINT AS rn, FALSE AS taken, list(component ORDER BY k) AS up FROM comp
+  UNION ALL SELECT c.rn, up[a + 1] <> up[b + 1], CASE WHEN up[a + 1] <> up[b + 1] THEN list_transform(up, lambda n: CASE WHEN n = greatest(up[a + 1], up[b + 1]) THEN least(up[a + 1], up[b + 1]) ELSE n END) ELSE up END FROM w JOIN c ON c.rn = w.rn + 1)
+  SELECT a, b, d2 FROM w JOIN c ON w.rn = c.rn WHERE taken""")
 def stitch_components(spark, d):
     """Links that join separate pieces of the chart, nearest first."""
     p = points(spark, d)
@@ -304,9 +316,6 @@ def stitch_components(spark, d):
     return graph.stitch(pairs.select(F.col("l.k").alias("a"), F.col("r.k").alias("b"), "d2"), _components(spark, d))
 
 
-_CC = """WITH RECURSIVE s AS (SELECT u, v FROM {chart_edges} UNION ALL SELECT v, u FROM {chart_edges}), r AS (SELECT k, k AS c FROM {chart_nodes} UNION SELECT s.v, r.c FROM r JOIN s ON s.u = r.k AND r.c < s.v), comp AS (SELECT k, min(c) AS component FROM r GROUP BY k) """
-
-
 def _components(spark, d):
     return components.connected_components(layer(spark, d, "chart_edges"), layer(spark, d, "chart_nodes"))
 

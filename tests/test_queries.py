@@ -12,5 +12,5 @@ def test_matches_sql(spark, name):
 
 
 def test_every_query_is_compared():
-    """Those without SQL have brute-force tests: test_stitch, test_skeleton, test_kernels."""
-    assert set(QUERIES) - set(ORACLE) == {"stitch_components", "capped_connectors", "skeleton_network", "navmesh_triangulate"}
+    """Those without SQL have brute-force tests: test_skeleton, test_kernels."""
+    assert set(QUERIES) - set(ORACLE) == {"skeleton_network", "navmesh_triangulate"}
