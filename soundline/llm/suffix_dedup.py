@@ -12,7 +12,7 @@ strings that start at positions still in question, drop the unique ones and pass
 In each round a block of texts sends every distinct rank once to the bucket that the rank falls in; buckets sort what
 they get, and answer one bit a rank. So a passage that a third of all texts share costs a row a block, not a text.
 A rank is a 64-bit hash of an exact string, and a second hash with another base confirms that strings of equal rank are
-equal: 96 bits have to agree before a byte goes.
+equal: 80 bits have to agree before a byte goes.
 """
 
 from __future__ import annotations
@@ -98,10 +98,10 @@ class _Text:
         self.whole = self.rank(p[self.whole_at], p[need[self.whole_at]])
 
     def rank(self, a: np.ndarray, b) -> np.ndarray:
-        """[string, (rank, confirming hash of 32 bits)] of the bytes from a to b."""
+        """[string, (rank, confirming hash of 16 bits)] of the bytes from a to b."""
         size = np.asarray(b - a).astype(U) * U(0xD6E8FEB86659FD93)
         rank, more = (_mix((total[b] - total[a]) * down[a] + size) for total, down in zip(self.sum, self.down, strict=True))
-        return np.stack([rank, more >> U(32)], 1)
+        return np.stack([rank, more >> U(48)], 1)
 
     def asked(self, half: np.ndarray, whole: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(covered, ends, shown): starts of strings known to repeat, of those to ask for, of those to show to others."""
@@ -173,12 +173,12 @@ def _send(name: str, ranks: np.ndarray, buckets: int) -> list[tuple]:
     own = _distinct(ranks)[0]
     order, cuts = _dealt(own, buckets)
     parts = ((int(b), own[order[cuts[b] : cuts[b + 1]]]) for b in np.flatnonzero(np.diff(cuts)))
-    return [(name, b, p[:, 0].astype("<u8").tobytes() + p[:, 1].astype("<u4").tobytes()) for b, p in parts]
+    return [(name, b, p[:, 0].astype("<u8").tobytes() + p[:, 1].astype("<u2").tobytes()) for b, p in parts]
 
 
 def _ranks(body: bytes) -> np.ndarray:
-    n = len(body) // 12
-    return np.stack([np.frombuffer(body, "<u8", n), np.frombuffer(body, "<u4", n, 8 * n).astype(U)], 1)
+    n = len(body) // 10
+    return np.stack([np.frombuffer(body, "<u8", n), np.frombuffer(body, "<u2", n, 8 * n).astype(U)], 1)
 
 
 def _answer(table: pa.Table) -> pa.Table:
