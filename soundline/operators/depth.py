@@ -29,7 +29,7 @@ def with_ends(edges: DataFrame, nodes: DataFrame, x: str = "lon_e5", y: str = "l
     """edges(u, v) with both ends' places and the box around them."""
     a = nodes.select(F.col("k").alias("u"), F.col(x).alias("x1"), F.col(y).alias("y1"))
     b = nodes.select(F.col("k").alias("v"), F.col(x).alias("x2"), F.col(y).alias("y2"))
-    e = edges.join(a, "u").join(b, "v")
+    e = edges.join(a.hint("merge"), "u").join(b.hint("merge"), "v")
     return e.select("u", "v", "x1", "y1", "x2", "y2", F.least("x1", "x2").alias("minx"), F.least("y1", "y2").alias("miny"), F.greatest("x1", "x2").alias("maxx"), F.greatest("y1", "y2").alias("maxy"))
 
 

@@ -25,12 +25,15 @@ def _deal(df: DataFrame, box: tuple, margin: float, size: float, name: str) -> D
 
 
 def box_join(left: DataFrame, right: DataFrame, on: Column | None = None, margin: float = 0, size: float = 2000, left_box: tuple = BOX, right_box: tuple = BOX) -> DataFrame:
-    """Pairs (l, r) of rows whose boxes, the left one grown by margin, overlap and for which `on` over l and r holds."""
+    """Pairs (l, r) of rows whose boxes, the left one grown by margin, overlap and for which `on` over l and r holds.
+
+    Sides are never broadcast: plans know the size of the tables a side comes from, not of the boxes dealt from them.
+    """
     l, r = _deal(left, left_box, margin, size, "l"), _deal(right, right_box, 0, size, "r")
     at_home = (F.col("cx") == _cell(F.greatest("lx", "rx"), size)) & (F.col("cy") == _cell(F.greatest("ly", "ry"), size))
     a, b = (lambda i: F.col(f"l.{left_box[i]}")), (lambda i: F.col(f"r.{right_box[i]}"))
     meet = (a(0) - margin <= b(2)) & (a(2) + margin >= b(0)) & (a(1) - margin <= b(3)) & (a(3) + margin >= b(1))
-    pairs = l.join(r, ["cx", "cy"]).filter(at_home & meet)
+    pairs = l.join(r.hint("merge"), ["cx", "cy"]).filter(at_home & meet)
     return (pairs if on is None else pairs.filter(on)).select("l", "r")
 
 
