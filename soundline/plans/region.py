@@ -36,7 +36,7 @@ def edge_table(edges: DataFrame, layers: dict[str, DataFrame], buffer: int = 150
     low = depth.edge_min_depth(e, layers["depth_areas"])
     kind = nodes.select("k", "node_type")
     inland = (F.col("a") == "inland") & (F.col("b") == "inland")
-    both = e.join(kind.toDF("u", "a"), "u").join(kind.toDF("v", "b"), "v").select("u", "v", A.edge_type_id(F.when(inland, "inland").otherwise("coastal")).alias("edge_type_id"))
+    both = e.join(kind.toDF("u", "a").hint("merge"), "u").join(kind.toDF("v", "b").hint("merge"), "v").select("u", "v", A.edge_type_id(F.when(inland, "inland").otherwise("coastal")).alias("edge_type_id"))
     out = e.select("u", "v", F.round(G.haversine(*(F.col(c) / 100000.0 for c in ("x1", "y1", "x2", "y2"))), 2).alias("distance"))
     for part in (
         low.select("u", "v", "drval1"), hazards.soft_depth(e, low, boxes), hazards.air_draft(e, layers["bridges"]), hazards.lock_width(e, layers["locks"]),
