@@ -14,7 +14,7 @@ def _joins(df, key):
     return set(re.findall(rf"(\w+Join)(?: \(\d+\))? \[{key}#", df._jdf.queryExecution().executedPlan().toString()))
 
 
-@pytest.mark.parametrize("name", ["edge_soft_obstruction_depth", "edge_min_depth", "region_edges", "shape_edge_min_depth", "shape_holds_edge"])
+@pytest.mark.parametrize("name", ["edge_soft_obstruction_depth", "edge_min_depth", "region_edges", "shape_edge_min_depth", "shape_holds_edge", "shape_node_depth"])
 def test_layers_are_not_broadcast(spark, name):
     plan = QUERIES[name](spark, SF)
     assert _joins(plan, "cx") == {"SortMergeJoin"}
