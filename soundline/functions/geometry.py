@@ -9,10 +9,14 @@ EARTH_M, MERCATOR_M, DEGREE_M = 6_371_008.8, 6_378_137.0, 111_320.0
 
 
 def mercator(lon: Column, lat: Column) -> Column:
-    return F.struct((F.radians(lon) * MERCATOR_M).alias("x"), (F.log(F.tan(F.radians(lat) / 2 + 0.7853981633974483)) * MERCATOR_M).alias("y"))
+    """x and y in metres; beyond a pole, where there is no logarithm, y is not a number, and a null stays null."""
+    t = F.tan(F.radians(lat) / 2 + 0.7853981633974483)
+    y = F.when(t < 0, F.lit(float("nan"))).when(t == 0, F.lit(float("-inf"))).otherwise(F.log(t))
+    return F.struct((F.radians(lon) * MERCATOR_M).alias("x"), (y * MERCATOR_M).alias("y"))
 
 
 def from_mercator(x: Column, y: Column) -> Column:
+    """Places between the poles; one beyond them doesn't come back."""
     return F.struct(F.degrees(x / MERCATOR_M).alias("lon"), F.degrees(F.atan(F.exp(y / MERCATOR_M)) * 2 - 1.5707963267948966).alias("lat"))
 
 
