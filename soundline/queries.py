@@ -512,28 +512,47 @@ def skeleton_network(spark, d):
     return skeletons(layer(spark, d, "depth_bands"), layer(spark, d, "chart_land"))
 
 
+_SEGMENT = {"band_id": np.int64, "chain": np.int64, "segment": np.int64, "pixels": np.int64, "length": float, "min_width": float}
+
+
+def raster_segments(frames, size: float | None, shortest: float, longest: float):
+    """Frames of segments for frames of (band_id, box, land); a raster equal to the last one is not computed again."""
+    def segments(mask, px):
+        width = 2 * px * np.sqrt(R.distance2(mask))
+        found = R.prune(R.chains(R.medial_axis(mask)), px, shortest)
+        out = [(i, j, len(part), R.chain_length(part, px), float(min(width[p] for p in part))) for i, chain in enumerate(found) for j, part in enumerate(R.resample(chain, px, longest))]
+        return pd.DataFrame(out, columns=[*_SEGMENT][1:]).astype({c: t for c, t in _SEGMENT.items() if c != "band_id"})
+
+    last, held = None, None
+    for f in frames:
+        out, rows = [], 0
+        for band, box, lands in zip(f["band_id"], f[[*spatial.BOX]].to_numpy(), f["land"], strict=True):
+            px = size or R.pixel_size(box[2] - box[0], box[3] - box[1])
+            mask = R.water(tuple(box), [] if lands is None else [tuple(x[n] for n in spatial.BOX) for x in lands], px)
+            this = px, mask.shape, np.packbits(mask).tobytes()
+            if this != last:
+                last, held = this, segments(mask, px)
+            out.append(held.assign(band_id=band))
+            rows += len(held)
+            if rows > 50_000:
+                yield pd.concat(out)[[*_SEGMENT]]
+                out, rows = [], 0
+        if out:
+            yield pd.concat(out)[[*_SEGMENT]]
+
+
 def skeletons(bands: DataFrame, land: DataFrame, size: float | None = None, shortest: float = SHORTEST_SPUR, longest: float = LONGEST_SEGMENT) -> DataFrame:
     """Of each of bands(band_id, box): chains of its raster's skeleton, pruned and cut into segments of about longest.
 
-    Pixels are as R.pixel_size says, or of the given size.
+    Pixels are as R.pixel_size says, or of the given size. Bands of one form, box and land alike wherever they lie,
+    meet in four tasks at most, one after the other, so that their raster is thinned once a task.
     """
-    names = ["minx", "miny", "maxx", "maxy"]
-
-    def run(frames):
-        for f in frames:
-            out = []
-            for band, box, lands in zip(f["band_id"], f[names].to_numpy(), f["land"], strict=True):
-                px = size or R.pixel_size(box[2] - box[0], box[3] - box[1])
-                mask = R.water(tuple(box), [] if lands is None else [tuple(x[n] for n in names) for x in lands], px)
-                width = 2 * px * np.sqrt(R.distance2(mask))
-                for i, chain in enumerate(R.prune(R.chains(R.medial_axis(mask)), px, shortest)):
-                    for j, part in enumerate(R.resample(chain, px, longest)):
-                        out.append((band, i, j, len(part), R.chain_length(part, px), float(min(width[p] for p in part))))
-            yield pd.DataFrame(out, columns=["band_id", "chain", "segment", "pixels", "length", "min_width"])
-
-    bands = bands.select("band_id", *names)
-    met = spatial.box_join(bands, land.select(*names)).groupBy(F.col("l.band_id").alias("band_id")).agg(F.collect_list("r").alias("land"))
-    dealt = bands.join(met, "band_id", "left").repartition("band_id")
+    bands = bands.select("band_id", *spatial.BOX)
+    met = spatial.box_join(bands, land.select(*spatial.BOX)).groupBy(F.col("l.band_id").alias("band_id")).agg(F.collect_list("r").alias("land"))
+    there = F.transform(F.array_sort("land"), lambda x: F.array(*(x[n] - F.col(o) for n, o in zip(spatial.BOX, spatial.BOX[:2] * 2, strict=True))))
+    dealt = bands.join(met, "band_id", "left").withColumn("form", F.xxhash64(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"), there))
+    dealt = dealt.repartition("form", F.pmod(F.xxhash64("band_id"), F.lit(4))).sortWithinPartitions("form")
+    run = lambda frames: raster_segments(frames, size, shortest, longest)
     return dealt.mapInPandas(run, "band_id long, chain long, segment long, pixels long, length double, min_width double")
 
 

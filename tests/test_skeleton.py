@@ -1,5 +1,6 @@
 import math
 
+import pandas as pd
 import pytest
 
 from soundline import queries
@@ -77,3 +78,16 @@ def test_every_band_has_a_row_unless_dry(spark):
     meets = lambda b: any(b.minx <= l[2] and b.maxx >= l[0] and b.miny <= l[3] and b.maxy >= l[1] for l in land)
     free = {b.band_id for b in layer(spark, SF, "depth_bands").collect() if not meets(b)}
     assert len(free) > 20 and free <= got
+
+
+def test_equal_rasters_are_thinned_once(monkeypatch):
+    """Bands that differ in their place alone have the same segments, from one raster."""
+    axis, calls = R.medial_axis, []
+    monkeypatch.setattr(R, "medial_axis", lambda mask: calls.append(1) or axis(mask))
+    land = lambda x: [{"minx": x + 400, "miny": 300, "maxx": x + 700, "maxy": 800}]
+    own = [(i, x, 0, x + 1200, 900, land(x) if i >= 20 else None) for i in range(40) for x in [5000 * i]]
+    f = pd.DataFrame(own, columns=["band_id", "minx", "miny", "maxx", "maxy", "land"])
+    got = pd.concat(queries.raster_segments([f[:10], f[10:]], 60, 60, 100)).set_index("band_id")
+    alike = lambda a, b: got.loc[a].reset_index(drop=True).equals(got.loc[b].reset_index(drop=True))
+    assert len(calls) == 2 and set(got.index) == set(range(40))
+    assert all(alike(i, i - i % 20) for i in range(40)) and not alike(0, 20)
