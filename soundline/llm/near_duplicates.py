@@ -1,9 +1,11 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, verified exactly.
-
-Texts with the same set of shingles are one node. Nodes that agree in one of 30 bands of 5 minima of hashed shingles
-share a bucket: a pair of similarity 0.8 misses all bands with a probability below 1e-5. Within a bucket a leader is
-compared with all others; what it leaves in separate components meets in pairs. Nodes of large buckets meet in tiles
-instead, whose shared shingles are counted as matrix products. Every link is verified on the shingles.
+"""Near-duplicates by SimHash, verified exactly by the Jaccard similarity of word shingles.
+
+Texts with the same set of shingles are one node. A node's fingerprint has 256 bits, and nodes within a radius of 80
+are candidates: a pair of similarity 0.8 differs in 39 bits on average, of few shingles in up to 48, and unrelated
+ones in 128, with deviations of 6 to 8. Fingerprints are compared in tiles, by exclusive-or and bit counts in numpy;
+tiles meet where their nodes' numbers of shingles allow the similarity. Candidates are verified on the shingles: each
+node with its least one, then what is left between components. Of groups with many candidates a node all nodes meet in
+tiles instead, whose shared shingles are counted as matrix products.
 """
 
 from __future__ import annotations
@@ -17,11 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import LINKS, components, forest, store, words_of
 
-BANDS, ROWS, LARGE = 30, 5, 64
-_RNG = np.random.default_rng(7)
-_MUL, _ADD = (_RNG.integers(0, 2**64, BANDS * ROWS, np.uint64) for _ in range(2))
-_MUL |= np.uint64(1)
-_MIX, _BAND = _RNG.integers(0, 2**64, ROWS, np.uint64) | np.uint64(1), _RNG.integers(0, 2**64, BANDS, np.uint64)
+LARGE, RADIUS, HALF = 64, 80, 47
+_MUL = np.random.default_rng(7).integers(0, 2**64, 4, np.uint64) | np.uint64(1)
+WORDS = ("f0", "f1", "f2", "f3")
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -40,31 +40,78 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     return np.unique(np.array([hash64(joined[a:b]) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)], np.uint64))
 
 
-def _bands(found: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+def fingerprint(found: np.ndarray) -> np.ndarray:
+    """256 bits as four words: a bit is 1 if set in over half of the shingles' hashes, each mixed in four ways."""
+    count = np.zeros(256, np.int64)
     for i in range(0, len(found), 4096):
-        np.minimum(least, (found[i : i + 4096, None] * _MUL + _ADD).min(0), out=least)
-    return (least.reshape(BANDS, ROWS) * _MIX).sum(1, dtype=np.uint64) + _BAND
+        h = found[i : i + 4096, None] * _MUL
+        h = (h ^ (h >> np.uint64(32))) * _MUL[::-1]
+        h ^= h >> np.uint64(29)
+        count += np.unpackbits(h.view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(2 * count > len(found)).view(np.int64)
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """docs with node (names the set of shingles), n (their number) and bands; without words: node 0 and no bands."""
-    @F.pandas_udf("node long, n long, bands array<long>")
+    """docs with node (names the set of shingles), n (their number) and the words of the fingerprint; without words: node 0."""
+    @F.pandas_udf("node long, n long, f0 long, f1 long, f2 long, f3 long")
     def sign(texts: pd.Series) -> pd.DataFrame:
         import xxhash
 
-        node, n, bands = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.int64), []
+        node, n, words = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.int64), np.zeros((len(texts), 4), np.int64)
         for i, t in enumerate(texts):
             s = shingles(t, size)
             n[i] = len(s)
             if len(s):
                 node[i] = xxhash.xxh64_intdigest(s.tobytes())
-            bands.append(_bands(s).view(np.int64) if len(s) else np.empty(0, np.int64))
-        return pd.DataFrame({"node": node.view(np.int64), "n": n, "bands": bands})
+                words[i] = fingerprint(s)
+        return pd.DataFrame({"node": node.view(np.int64), "n": n} | {w: words[:, i] for i, w in enumerate(WORDS)})
 
     return docs.withColumn("_s", sign(F.col("text").cast("string"))).select(*docs.columns, "_s.*")
 
 
+def _near(part: int, whole: int, large: int):
+    """Pairs (a, b) of two tiles' nodes within the radius; of too many, a spanning forest, marked as dense."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for same, one, two in zip(f["same"], f["one"], f["two"], strict=True):
+                x, y = (np.asarray(t, np.int64).reshape(-1, 6) for t in (one, two))
+                p, q = x[:, 2:].copy().view(np.uint64), y[:, 2:].copy().view(np.uint64)
+                found = []
+                for i in range(0, len(x), 128):
+                    apart = np.bitwise_count(p[i : i + 128, :1] ^ q[:, 0]) + np.bitwise_count(p[i : i + 128, 1:2] ^ q[:, 1])
+                    j, k = np.nonzero(apart <= HALF)
+                    j += i
+                    keep = np.bitwise_count(p[j] ^ q[k]).sum(1, dtype=np.int64) <= RADIUS
+                    keep &= (whole * np.minimum(x[j, 1], y[k, 1]) >= part * np.maximum(x[j, 1], y[k, 1])) & (x[j, 0] < y[k, 0] if same else True)
+                    found.append((x[j[keep], 0], y[k[keep], 0]))
+                a, b = (np.concatenate(c) for c in zip(*found, strict=True))
+                dense = len(a) > large * len(np.union1d(a, b))
+                a, b = forest(a, b) if dense else (np.minimum(a, b), np.maximum(a, b))
+                yield pd.DataFrame({"a": a, "b": b, "dense": dense})
+
+    return run
+
+
+def candidates(signed: DataFrame, part: int, whole: int, tile: int = 2048) -> DataFrame:
+    """(a, b, dense): pairs of nodes of signed(node, n, words) within the radius, and forests for where they are many.
+
+    Nodes lie in cells by the logarithm of n, so that those of the similarity are in one cell or in two that follow.
+    """
+    base = 1.01 * whole / part
+    own = signed.filter(f"{whole} * n >= {part} * (n + 1)")  # a smaller set is similar to itself alone
+    nodes = store(own.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", *WORDS))).withColumn("cell", F.floor(F.log("n") / F.log(F.lit(base)))), "nodes")
+    slots = nodes.groupBy("cell").agg(F.expr(f"int(ceil(count(*) / {tile}))").alias("slots"))
+    slots = F.broadcast(store(slots, "slots"))  # a cell for each factor of 1.26 in n
+    tiles = nodes.join(slots, "cell").withColumn("slot", F.expr("int(pmod(xxhash64(node), slots))"))
+    tiles = store(tiles.groupBy("cell", "slot").agg(F.flatten(F.collect_list(F.array("node", "n", *WORDS))).alias("nodes")), "tiles")
+    ask = tiles.select(F.col("cell").alias("from"), F.col("slot").alias("own"), F.explode(F.expr("array(0L, 1L)")).alias("by"), F.col("nodes").alias("one"))
+    ask = ask.withColumn("cell", F.expr("`from` + by")).join(slots, "cell")
+    ask = ask.select("cell", F.explode(F.expr("sequence(if(by = 0, own, 0), slots - 1)")).alias("slot"), "own", "by", "one")  # a row a pair of tiles
+    pairs = ask.hint("merge").join(tiles.withColumnRenamed("nodes", "two"), ["cell", "slot"])
+    pairs = pairs.select(F.expr("by = 0 and own = slot").alias("same"), "one", "two")
+    return pairs.mapInPandas(_near(part, whole, LARGE), LINKS + ", dense boolean")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, size: int, part: int, whole: int) -> DataFrame:
     """Those of pairs(a, b) whose shingles in texts(node, text) have a similarity of part / whole or more."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,27 +167,24 @@ def tiled(large: DataFrame, texts: DataFrame, size: int, part: int, whole: int,
 
 
 def link(signed: DataFrame, size: int, part: int, whole: int) -> DataFrame:
-    """(a, b): verified links between nodes of signed(node, n, bands, text), enough to join all candidates that are similar."""
-    member = signed.select("node", "n", F.explode("bands").alias("bucket")).distinct()
-    shared = member.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("lead")).filter("c > 1")
-    member = store(member.join(shared, "bucket"), "buckets")
-    texts = signed.select("node", "text").join(member.select("node").distinct(), "node", "left_semi")
-    texts = store(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
-    large = store(tiled(member.filter(f"c > {LARGE}").select("lead", "node").distinct(), texts, size, part, whole), "large")
-    member = member.filter(f"c <= {LARGE}").select("bucket", "node", "n")
-    near = f"{whole} * least(n, m) >= {part} * greatest(n, m)"  # sets of other sizes can't be that similar
-
-    first = member.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("f")).select("bucket", F.col("f.node").alias("a"), F.col("f.n").alias("m"))
-    ask = store(member.join(first, "bucket").filter("a <> node").filter(near).select("a", F.col("node").alias("b")).distinct(), "asked")
+    """(a, b): verified links between nodes of signed(node, n, words, text), enough to join all candidates that are similar."""
+    cand = store(candidates(signed, part, whole), "candidates").filter("a <> b")
+    member = cand.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = store(signed.select("node", "text").join(member, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
+
+    # groups in which a tile has many candidates a node are compared whole
+    comp = store(components(cand.select("a", "b")), "groups")
+    dense = comp.join(cand.filter("dense").select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("component").distinct()
+    large = store(tiled(comp.join(dense, "component", "left_semi").select(F.col("component").alias("lead"), "node"), texts, size, part, whole), "large")
+    cand = cand.join(comp.join(dense, "component", "left_anti").select(F.col("node").alias("a")), "a", "left_semi").select("a", "b").distinct()
+
+    ask = store(cand.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "asked")
     links = store(large.unionByName(verify(ask, texts, size, part, whole)), "verified")
 
-    # a bucket whose members aren't in one component by now has pairs left between its components
+    # candidates that aren't in one component by now
     comp = components(links)
-    at = member.join(comp, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-    split = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
-    at = store(at.join(split, "bucket", "left_semi"), "split")
-    other = at.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("d"))
-    rest = at.join(other, "bucket").filter("node < b and component <> d").filter(near).select(F.col("node").alias("a"), "b").distinct()
+    at = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"{c}c"))
+    rest = cand.join(at("a"), "a", "left").join(at("b"), "b", "left").filter("coalesce(ac, a) <> coalesce(bc, b)").select("a", "b")
     rest = store(rest.join(ask, ["a", "b"], "left_anti"), "rest")
     return links.unionByName(verify(rest, texts, size, part, whole))
 

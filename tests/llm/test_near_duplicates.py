@@ -95,3 +95,19 @@ def test_odd_rows(odd, none):  # noqa: F811
     got = collections.Counter((r.doc_id, r.component_id) for r in near_duplicates.near_duplicates(odd).collect())
     assert got == collections.Counter({(1, 1): 1, (None, 1): 1, (2, 2): 1, (3, 2): 1, (6, 2): 1, (4, 4): 1, (5, 5): 2})
     assert near_duplicates.near_duplicates(none).count() == 0
+
+
+def test_candidates_are_those_within_the_radius(spark):
+    """Every similar pair has fingerprints within the radius and is a candidate; hardly any other pair is."""
+    rows = _planted(seed=11)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = near_duplicates.signatures(docs, 5)
+    node = {r.doc_id: r.node for r in signed.collect()}
+    got = {(r.a, r.b) for r in near_duplicates.candidates(signed, 4, 5).collect()}
+    sets = {i: _set(t) for i, t in rows}
+    words = {i: near_duplicates.fingerprint(near_duplicates.shingles(t, 5)) for i, t in rows}
+    apart = lambda a, b: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(words[a].tolist(), words[b].tolist(), strict=True))
+    similar = [(a, b) for a, b in itertools.combinations(sets, 2) if node[a] != node[b] and _jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(similar) > 100 and all(tuple(sorted((node[a], node[b]))) in got for a, b in similar)
+    assert max(apart(a, b) for a, b in similar) <= near_duplicates.RADIUS
+    assert len(got) < 60 * 36 + 10
