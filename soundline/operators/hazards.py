@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import attributes as A
 from ..functions.geometry import point_segment_t, segment_meets_rectangle
 from . import shapes
+from .components import written
 from .spatial import box_join
 
 
@@ -102,10 +103,10 @@ def distance_to_land(ends: DataFrame, land: DataFrame, reach: float = 2000) -> D
     while True:
         pairs = box_join(todo, land, margin=reach, size=reach)
         near = pairs.select(F.col("l.u").alias("u"), F.col("l.v").alias("v"), d2.alias("d2")).groupBy("u", "v").agg(F.min("d2").alias("d2"))
-        near = near.filter(F.col("d2") <= reach * reach).persist()
+        near = written(near.filter(F.col("d2") <= reach * reach))
         done = near.select("u", "v", F.round(F.sqrt("d2"), 2).alias("distance_to_land"))
         found = done if found is None else found.unionByName(done)
-        todo = todo.join(near, ["u", "v"], "left_anti").persist()
+        todo = written(todo.join(near, ["u", "v"], "left_anti"))
         if todo.isEmpty():
             return found
         reach *= 2

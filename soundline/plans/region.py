@@ -9,6 +9,7 @@ from ..config import Config
 from ..functions import attributes as A
 from ..functions import geometry as G
 from ..operators import depth, hazards, seams
+from ..operators.components import written
 
 # fixed values: numbers and names of the published schema
 ENUMS = {
@@ -28,12 +29,13 @@ def edge_table(edges: DataFrame, layers: dict[str, DataFrame], buffer: int = 150
     """One row for each of edges(u, v): all attributes by equi-joins on (u, v).
 
     layers: nodes(k, lon_e5, lat_e5, node_type), depth_areas, bridges, locks, fairways, obstacles and land, as boxes or
-    polygons. crosses_land is 0, as crossing edges are stripped before.
+    polygons. crosses_land is 0, as crossing edges are stripped before. Parts are written one by one: a single plan of
+    all of them takes more of the driver's memory than their rows do.
     """
     nodes = layers["nodes"]
-    e = depth.with_ends(edges, nodes)
+    e = written(depth.with_ends(edges, nodes))
     boxes = hazards.obstacle_boxes(layers["obstacles"], buffer)
-    low = depth.edge_min_depth(e, layers["depth_areas"])
+    low = written(depth.edge_min_depth(e, layers["depth_areas"]))
     kind = nodes.select("k", "node_type")
     inland = (F.col("a") == "inland") & (F.col("b") == "inland")
     both = e.join(kind.toDF("u", "a").hint("merge"), "u").join(kind.toDF("v", "b").hint("merge"), "v").select("u", "v", A.edge_type_id(F.when(inland, "inland").otherwise("coastal")).alias("edge_type_id"))
@@ -42,7 +44,7 @@ def edge_table(edges: DataFrame, layers: dict[str, DataFrame], buffer: int = 150
         low.select("u", "v", "drval1"), hazards.soft_depth(e, low, boxes), hazards.air_draft(e, layers["bridges"]), hazards.lock_width(e, layers["locks"]),
         hazards.fairway(e, layers["fairways"]), hazards.crosses_obstacle(e, boxes), hazards.distance_to_land(e, layers["land"]), both,
     ):
-        out = out.join(part, ["u", "v"])
+        out = out.join(written(part).hint("merge"), ["u", "v"])
     out = out.join(hazards.inside_locks(e, layers["locks"]), ["u", "v"], "left").withColumn("crosses_land", F.lit(0)).withColumn("buoyage_direction", A.buoyage_direction())
     return out.select("u", "v", "distance", "min_depth", "drval1", "max_air_draft", "min_width", "cost_factor", "traffic_mode", "crosses_obstacle", "crosses_land", "distance_to_land", "lock_id", "edge_type_id", "buoyage_direction")
 

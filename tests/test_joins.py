@@ -18,3 +18,9 @@ def _joins(df, key):
 def test_layers_are_not_broadcast(spark, name):
     plan = QUERIES[name](spark, SF)
     assert _joins(plan, "cx") == {"SortMergeJoin"}
+
+
+def test_region_edges_is_no_single_plan(spark):
+    """All attributes in one plan of over 70 joins took more of the driver's memory than their rows."""
+    plan = QUERIES["region_edges"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\w+Join ", plan)) <= 20
