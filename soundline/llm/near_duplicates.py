@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import LINKS, components, forest, store, words_of
 
-LARGE, RADIUS, HALF = 64, 80, 47
+LARGE, RADIUS, HALF = 4, 80, 47
 _MUL = np.random.default_rng(7).integers(0, 2**64, 4, np.uint64) | np.uint64(1)
 WORDS = ("f0", "f1", "f2", "f3")
 
@@ -69,31 +69,66 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.withColumn("_s", sign(F.col("text").cast("string"))).select(*docs.columns, "_s.*")
 
 
+def _close(x: np.ndarray, y: np.ndarray, part: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the rows of x and of y [node, n, words] that lie within the radius and whose n allow the similarity."""
+    p, q = x[:, 2:].copy().view(np.uint64), y[:, 2:].copy().view(np.uint64)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for i in range(0, len(x), 128):
+        apart = np.bitwise_count(p[i : i + 128, :1] ^ q[:, 0]) + np.bitwise_count(p[i : i + 128, 1:2] ^ q[:, 1])
+        j, k = np.nonzero(apart <= HALF)
+        j += i
+        keep = np.bitwise_count(p[j] ^ q[k]).sum(1, dtype=np.int64) <= RADIUS
+        keep &= whole * np.minimum(x[j, 1], y[k, 1]) >= part * np.maximum(x[j, 1], y[k, 1])
+        found.append((j[keep], k[keep]))
+    j, k = (np.concatenate(c) for c in zip(*found, strict=True))
+    return j, k
+
+
+def _root(of: np.ndarray, nodes: np.ndarray, roots: np.ndarray) -> np.ndarray:
+    """The root of each of `of` in a forest of (nodes, roots), nodes ascending; those it doesn't have are their own."""
+    if not len(nodes):
+        return of
+    at = np.minimum(np.searchsorted(nodes, of), len(nodes) - 1)
+    return np.where(nodes[at] == of, roots[at], of)
+
+
 def _near(part: int, whole: int, large: int):
-    """Pairs (a, b) of two tiles' nodes within the radius; of too many, a spanning forest, marked as dense."""
+    """Pairs (a, b) of two tiles' nodes within the radius; where a group has too many, links enough to join it, marked as dense.
+
+    Two different tiles then link only what each doesn't join by itself, which the tile says when it meets itself.
+    """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for same, one, two in zip(f["same"], f["one"], f["two"], strict=True):
                 x, y = (np.asarray(t, np.int64).reshape(-1, 6) for t in (one, two))
-                p, q = x[:, 2:].copy().view(np.uint64), y[:, 2:].copy().view(np.uint64)
-                found = []
-                for i in range(0, len(x), 128):
-                    apart = np.bitwise_count(p[i : i + 128, :1] ^ q[:, 0]) + np.bitwise_count(p[i : i + 128, 1:2] ^ q[:, 1])
-                    j, k = np.nonzero(apart <= HALF)
-                    j += i
-                    keep = np.bitwise_count(p[j] ^ q[k]).sum(1, dtype=np.int64) <= RADIUS
-                    keep &= (whole * np.minimum(x[j, 1], y[k, 1]) >= part * np.maximum(x[j, 1], y[k, 1])) & (x[j, 0] < y[k, 0] if same else True)
-                    found.append((x[j[keep], 0], y[k[keep], 0]))
-                a, b = (np.concatenate(c) for c in zip(*found, strict=True))
-                dense = len(a) > large * len(np.union1d(a, b))
-                a, b = forest(a, b) if dense else (np.minimum(a, b), np.maximum(a, b))
-                yield pd.DataFrame({"a": a, "b": b, "dense": dense})
+                j, k = _close(x, y, part, whole)
+                if same:
+                    j, k = j[x[j, 0] < y[k, 0]], k[x[j, 0] < y[k, 0]]
+                a, b = x[j, 0], y[k, 0]
+                nodes, roots = forest(a, b)
+                group = _root(a, nodes, roots)
+                names, members = np.unique(roots, return_counts=True)
+                links = np.zeros(len(names), np.int64)
+                np.add.at(links, np.searchsorted(names, group), 1)
+                dense = (links > large * (members + 1))[np.searchsorted(names, group)]
+                yield pd.DataFrame({"a": np.minimum(a, b)[~dense], "b": np.maximum(a, b)[~dense], "dense": False})
+                if not dense.any():
+                    continue
+                a, b = a[dense], b[dense]
+                if not same:
+                    for t, rows in ((x, j), (y, k)):
+                        own = t[np.unique(rows[dense])]
+                        p, q = _close(own, own, part, whole)
+                        held = forest(own[p, 0], own[q, 0])
+                        a, b = _root(a, *held), _root(b, *held)
+                a, b = forest(a, b)
+                yield pd.DataFrame({"a": a, "b": b, "dense": True})
 
     return run
 
 
-def candidates(signed: DataFrame, part: int, whole: int, tile: int = 2048) -> DataFrame:
-    """(a, b, dense): pairs of nodes of signed(node, n, words) within the radius, and forests for where they are many.
+def candidates(signed: DataFrame, part: int, whole: int, tile: int = 4096) -> DataFrame:
+    """(a, b, dense): pairs of nodes of signed(node, n, words) within the radius, and links that join groups with many.
 
     Nodes lie in cells by the logarithm of n, so that those of the similarity are in one cell or in two that follow.
     """

@@ -111,3 +111,41 @@ def test_candidates_are_those_within_the_radius(spark):
     assert len(similar) > 100 and all(tuple(sorted((node[a], node[b]))) in got for a, b in similar)
     assert max(apart(a, b) for a, b in similar) <= near_duplicates.RADIUS
     assert len(got) < 60 * 36 + 10
+
+
+def test_candidates_of_a_large_group_stay_few(spark, monkeypatch):
+    """Rows grow with the nodes, not with the square of a group over several tiles, and join what all pairs would."""
+    rng = random.Random(3)
+    base = [f"w{rng.random()}" for _ in range(200)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        for j in rng.sample(range(200), rng.choice((1, 2, 3, 14))):
+            copy[j] = f"w{rng.random()}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    signed = near_duplicates.signatures(docs, 5)
+    nodes = signed.select("node").distinct().count()
+    found = near_duplicates.candidates(signed, 4, 5, tile=64).collect()
+    assert any(r.dense for r in found) and len(found) < 5 * nodes
+    node = {r.doc_id: r.node for r in signed.collect()}
+    words = {node[i]: near_duplicates.fingerprint(near_duplicates.shingles(t, 5)) for i, t in rows}
+    n = {node[i]: len(near_duplicates.shingles(t, 5)) for i, t in rows}
+    apart = lambda a, b: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(words[a].tolist(), words[b].tolist(), strict=True))
+    pairs = [(a, b) for a, b in itertools.combinations(words, 2) if apart(a, b) <= near_duplicates.RADIUS and 5 * min(n[a], n[b]) >= 4 * max(n[a], n[b])]
+    assert len(pairs) > 50 * nodes
+    all_, few = ({frozenset(g) for g in _joined(words, p)} for p in (pairs, [(r.a, r.b) for r in found]))
+    assert all_ == few
+    real = near_duplicates.candidates
+    monkeypatch.setattr(near_duplicates, "candidates", lambda *a: real(*a, tile=64))
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs).collect()} == _groups(rows)
+
+
+def _joined(nodes, pairs):
+    up = {i: {i} for i in nodes}
+    for a, b in pairs:
+        if up[a] is not up[b]:
+            up[a] |= up[b]
+            for i in up[b]:
+                up[i] = up[a]
+    return up.values()
