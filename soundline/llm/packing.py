@@ -88,18 +88,19 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = 20_000, fan_in: i
     return full.unionByName(placed)
 
 
-def pieces_of(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2048, end_id: int = 0, keep_ids: bool = True) -> DataFrame:
+def pieces_of(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2048, end_id: int = 0, keep_ids: bool = True, most: int = 200_000, most_chars: int = 1_000_000) -> DataFrame:
     """uid, doc_id, piece, start, length, ids (little-endian unsigned 32-bit) and their crc32 of every text's pieces.
 
     A text is its ids, then end_id. Only longer ones are cut, into pieces of capacity; the last may be shorter. A null
-    or empty text is end_id alone. Rows stay apart whatever their doc_id. Without keep_ids the ids are left out.
+    or empty text is end_id alone. Rows stay apart whatever their doc_id. Without keep_ids the ids are left out. A worker
+    remembers twice `most` chunks and encodes most_chars characters at a time: more of both takes memory and saves time.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         uid = TaskContext.get().partitionId() << 40
-        with shared(path, kind) as chunked:
+        with shared(path, kind, most) as chunked:
             for f in frames:
                 texts = [t if isinstance(t, str) else None for t in f["text"]]
-                for a, b in portions(texts):
+                for a, b in portions(texts, most_chars):
                     rows = []
                     for doc, ids in zip(f["doc_id"].iloc[a:b], chunked.encode(texts[a:b]), strict=True):
                         raw = ids.tobytes() + np.array([end_id], "<u4").tobytes()
@@ -115,13 +116,13 @@ def pieces_of(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2
     return docs.mapInPandas(run, "uid long, doc_id long, piece int, start long, length long, ids binary, ids_crc32 long")
 
 
-def pack_texts(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2048, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
+def pack_texts(docs: DataFrame, path: str, kind: str = "words", capacity: int = 2048, end_id: int = 0, keep_ids: bool = False, most: int = 200_000, most_chars: int = 1_000_000) -> DataFrame:
     """pieces_of with the sequence_id and offset of each piece; columns but doc_id and text are not read.
 
     Repeated rows, null ids and null texts each give pieces of their own; very long texts give as many as they need; an
     empty table gives an empty result.
     """
-    pieces = store(pieces_of(docs, path, kind, capacity, end_id, keep_ids), "pieces")
+    pieces = store(pieces_of(docs, path, kind, capacity, end_id, keep_ids, most, most_chars), "pieces")
     return pieces.join(pack(pieces.select("uid", "length"), capacity), "uid").drop("uid", *([] if keep_ids else ["ids"]))
 
 
@@ -129,4 +130,4 @@ def op5_best_fit(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     import public_tokenizers as P
 
-    return pack_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), P.path("word_bpe_49k.json"))
+    return pack_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), P.path("word_bpe_49k.json"), most=600_000, most_chars=3_000_000)

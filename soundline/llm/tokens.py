@@ -121,9 +121,10 @@ def _loaded(path: str, kind: str) -> Chunked:
 
 
 @contextmanager
-def shared(path: str, kind: str) -> Iterator[Chunked]:
+def shared(path: str, kind: str, most: int = 200_000) -> Iterator[Chunked]:
     """The one Chunked of a Python worker, for the length of a partition; what it remembers goes with the partition."""
     chunked = _loaded(path, kind)
+    chunked.most = most
     try:
         yield chunked
     finally:
