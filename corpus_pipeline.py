@@ -57,7 +57,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 400 bytes or more that occur anywhere else; bytes of cut characters go as well.
+    """Texts without the passages of 400 bytes or more, or of over 50 words, that occur anywhere else.
+
+    Bytes of cut characters go as well. Words are compared whatever white space separates them.
 
     A null text becomes empty. n_chars follows the text, where there is such a column; the others stay as they are,
     whatever their names. Repeated rows all stay, each without what they share. An empty table stays empty.
@@ -66,7 +68,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     def text_of(kept: pd.Series) -> pd.Series:
         return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
 
-    found = _columns(suffix_dedup.remove_repeats(_rows(docs)).withColumn("text", text_of("kept")), docs)
+    found = _columns(suffix_dedup.remove_repeats(_rows(docs), words=51).withColumn("text", text_of("kept")), docs)
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found

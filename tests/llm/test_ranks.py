@@ -29,3 +29,16 @@ def test_starts_asked_for_as_by_search():
         covered, ends, _ = t.asked(half, whole, first)
         assert covered.tolist() == known
         assert ends.tolist() == [s for s in range(t.last + 1) if live(s) and s not in set(known)]
+
+
+def test_told_where_ranks_clash():
+    """A rank is there twice only where its confirming hash is too; the first of its kind is marked."""
+    rng = np.random.default_rng(5)
+    for clash in (False, True):
+        ranks = np.stack([rng.integers(0, 300, 400), rng.integers(0, 3, 400) * clash], 1).astype(np.uint64)
+        bodies = [r[:, 0].astype("<u8").tobytes() + r[:, 1].astype("<u2").tobytes() for r in (ranks[:150], ranks[150:150], ranks[150:])]
+        rows = [tuple(r) for r in ranks.tolist()]
+        shared, first = S._told(bodies)
+        assert shared.tolist() == [rows.count(r) > 1 for r in rows]
+        assert first.tolist() == [rows.index(r) == i for i, r in enumerate(rows)]
+    assert all(len(x) == 0 for x in S._told([]))
